@@ -6,96 +6,113 @@ one *key*:
 
 * ``P``: the literal text before the first wildcard (an anchored prefix),
 * ``S``: the literal text after the last wildcard (an anchored suffix),
-* ``G``: any 3-character run inside a literal segment,
+* ``G``: a 3-character run inside a literal segment (used only by patterns
+  that have neither a prefix nor a suffix),
 * ``L``: for a pattern without ``%``, the exact length alone,
 * ``A``: nothing at all (a pattern such as ``%``), which every name has.
 
-Prefix and suffix keys also carry the exact length when the pattern has no
-``%`` (``-1`` otherwise). A name emits every key it could satisfy; a pattern
-emits the keys it requires, and the join uses the rarest of them. Keys are
-``xxhash64`` values, so a collision only adds a candidate: every candidate
-pair is still checked with ``LIKE``.
+Prefix and suffix keys use at most ``ANCHOR`` characters and also carry the
+exact length when the pattern has no ``%`` (``-1`` otherwise). A key is one
+``xxhash64`` of (kind, length, text), so a collision only adds a candidate:
+every candidate pair is still checked with ``LIKE``.
+
+Keys are produced with ``explode(sequence(..))`` and plain expressions, which
+stay in whole-stage codegen (higher-order lambdas would not).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
+ANCHOR = 8
 ANY_LEN = -1
 
 
-def _h(c: Column) -> Column:
-    return F.xxhash64(c)
+def _key(kind: str, klen, text: Column) -> Column:
+    klen = F.lit(klen) if isinstance(klen, int) else klen.cast("int")
+    return F.xxhash64(F.lit(kind), klen, text)
+
 
+def _substr(s: Column, pos: Column, n) -> Column:
+    return F.substr(s, pos, n if isinstance(n, Column) else F.lit(n))
 
-def _key(kind: str, klen: Column, kh: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), klen.cast("int").alias("klen"), kh.alias("kh"))
+
+def pattern_anchors(pattern: Column) -> dict[str, Column]:
+    """Length (or -1), literal prefix and literal suffix of a LIKE pattern."""
+    has_escape = F.instr(pattern, "\\") > 0
+    has_pct = F.instr(pattern, "%") > 0
+    klen = F.when(~has_pct & ~has_escape, F.char_length(pattern)).otherwise(F.lit(ANY_LEN))
+    # before the first unescaped wildcard, escapes removed
+    prefix = F.regexp_replace(F.regexp_extract(pattern, r"^((?:[^\\_%]|\\.)*)", 1), r"\\(.)", "$1")
+    # after the last wildcard; skipped when escapes make the right end ambiguous
+    suffix = F.when(~has_escape, F.regexp_extract(pattern, r"([^_%]*)$", 1)).otherwise(F.lit(""))
+    return {"klen": klen, "prefix": prefix, "suffix": suffix, "has_escape": has_escape}
 
 
-def name_keys(name: Column) -> Column:
-    """Array of every key a name can satisfy (about five per character)."""
-    n = F.char_length(name)
-    idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    any_len = F.lit(ANY_LEN)
+def needs_grams(pattern: Column) -> Column:
+    """True for patterns with no anchored literal but an inner literal of 3+ chars."""
+    a = pattern_anchors(pattern)
+    inner = F.regexp_extract(pattern, r"[^_%\\]{3}", 0) != ""
+    return (a["prefix"] == "") & (a["suffix"] == "") & ~a["has_escape"] & inner
 
-    def by_len(kind: str, piece) -> Column:
-        # one key with the exact length, one for patterns of any length
-        return F.flatten(
-            F.transform(
-                F.filter(idx, lambda i: i <= n),
-                lambda i: F.array(_key(kind, n, _h(piece(i))), _key(kind, any_len, _h(piece(i)))),
-            )
-        )
 
-    grams = F.array_distinct(
-        F.transform(
-            F.filter(idx, lambda i: i <= n - (GRAM - 1)),
-            lambda i: _key("G", any_len, _h(F.substring(name, i, GRAM))),
-        )
+def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern") -> DataFrame:
+    """(pattern, key) rows: the keys a pattern requires of any name it matches."""
+    p = F.col(pattern_col)
+    a = pattern_anchors(p)
+    pre = _substr(a["prefix"], F.lit(1), ANCHOR)
+    suf = F.substring(a["suffix"], -ANCHOR, ANCHOR)
+    anchored = F.array(
+        F.when(a["prefix"] != "", _key("P", a["klen"], pre)),
+        F.when(a["suffix"] != "", _key("S", a["klen"], suf)),
     )
-    fixed = F.array(_key("L", n, F.lit(0).cast("long")), _key("A", any_len, F.lit(0).cast("long")))
-    return F.concat(
-        by_len("P", lambda i: F.substring(name, 1, i)),
-        by_len("S", lambda i: F.substring(name, -i, i)),
-        grams,
-        fixed,
+    fallback = F.when(a["klen"] >= 0, _key("L", a["klen"], F.lit(""))).otherwise(_key("A", ANY_LEN, F.lit("")))
+    base = patterns.select(
+        p.alias("_pattern"),
+        F.explode(
+            F.when(needs_grams(p), F.array().cast("array<bigint>"))
+            .when((a["prefix"] != "") | (a["suffix"] != ""), anchored)
+            .otherwise(F.array(fallback))
+        ).alias("_k"),
+    ).where(F.col("_k").isNotNull())
+
+    # patterns with only inner literals: every 3-gram of every literal segment
+    g = patterns.where(needs_grams(p)).select(p.alias("_pattern"), F.explode(F.split(p, "[_%]")).alias("_seg"))
+    g = g.select("_pattern", "_seg", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("_seg") - (GRAM - 1), F.lit(1)))).alias("_i"))
+    g = g.where(F.char_length("_seg") >= GRAM).select(
+        "_pattern", _key("G", ANY_LEN, _substr(F.col("_seg"), F.col("_i"), GRAM)).alias("_k")
     )
+    return base.unionByName(g)
 
 
-def pattern_keys(pattern: Column) -> Column:
-    """Array of keys a LIKE pattern requires of any name it matches."""
-    has_escape = F.instr(pattern, "\\") > 0
-    has_pct = F.instr(pattern, "%") > 0
-    klen = F.when(~has_pct & ~has_escape, F.char_length(pattern)).otherwise(F.lit(ANY_LEN))
+def name_keys(names: DataFrame, name_col: str = "_name", grams: bool = True) -> DataFrame:
+    """(name, key) rows: every key a name can satisfy.
 
-    # literal text before the first unescaped wildcard, escapes removed
-    prefix = F.regexp_replace(
-        F.regexp_extract(pattern, r"^((?:[^\\_%]|\\.)*)", 1), r"\\(.)", "$1"
-    )
-    # after the last wildcard; skipped when escapes make the right end ambiguous
-    suffix = F.when(~has_escape, F.regexp_extract(pattern, r"([^_%]*)$", 1)).otherwise(F.lit(""))
-    segments = F.when(~has_escape, F.split(pattern, "[_%]")).otherwise(F.array().cast("array<string>"))
-    grams = F.flatten(
-        F.transform(
-            segments,
-            lambda s: F.transform(
-                F.filter(
-                    F.sequence(F.lit(1), F.greatest(F.char_length(s), F.lit(1))),
-                    lambda i: i <= F.char_length(s) - (GRAM - 1),
-                ),
-                lambda i: _key("G", F.lit(ANY_LEN), _h(F.substring(s, i, GRAM))),
-            ),
-        )
-    )
-    empty = F.array().cast("array<struct<kind:string,klen:int,kh:bigint>>")
-    anchored = F.concat(
-        F.when(prefix != "", F.array(_key("P", klen, _h(prefix)))).otherwise(empty),
-        F.when(suffix != "", F.array(_key("S", klen, _h(suffix)))).otherwise(empty),
-        grams,
+    Per name: prefixes and suffixes up to ``ANCHOR`` characters (with and
+    without the exact length), the length key, the catch-all key, and, when
+    ``grams``, every 3-character run.
+    """
+    n = F.char_length(F.col(name_col))
+    upto = F.greatest(n if grams else F.least(n, F.lit(ANCHOR)), F.lit(1))
+    pos = names.select(
+        F.col(name_col).alias("_name"), n.alias("_len"), F.explode(F.sequence(F.lit(1), upto)).alias("_i")
     )
-    fallback = F.when(
-        klen >= 0, F.array(_key("L", klen, F.lit(0).cast("long")))
-    ).otherwise(F.array(_key("A", F.lit(ANY_LEN), F.lit(0).cast("long"))))
-    return F.when(F.size(anchored) > 0, F.array_distinct(anchored)).otherwise(fallback)
+    name, ln, i = F.col("_name"), F.col("_len"), F.col("_i")
+    pre = _substr(name, F.lit(1), i)
+    suf = _substr(name, ln - i + 1, i)
+    anchor = (i <= ln) & (i <= ANCHOR)
+    keys = [
+        F.when(anchor, _key("P", ln, pre)),
+        F.when(anchor, _key("P", ANY_LEN, pre)),
+        F.when(anchor, _key("S", ln, suf)),
+        F.when(anchor, _key("S", ANY_LEN, suf)),
+        F.when(i == 1, _key("L", ln, F.lit(""))),
+        F.when(i == 1, _key("A", ANY_LEN, F.lit(""))),
+    ]
+    if grams:
+        keys.append(F.when(i <= ln - (GRAM - 1), _key("G", ANY_LEN, _substr(name, i, GRAM))))
+    # a repeated 3-gram repeats a key; the pairs are de-duplicated after the
+    # LIKE check, so no shuffle is spent on it here
+    return pos.select("_name", F.explode(F.array(*keys)).alias("_k")).where(F.col("_k").isNotNull())

@@ -54,11 +54,13 @@ class Rule:
 
 def rule_specs(rules: DataFrame) -> list[Rule]:
     """Collect the (tiny) distinct rule catalogue to the driver and classify it."""
-    rows = rules.select("anamoly", "compare_columns", "anamoly_type").distinct().limit(MAX_RULES + 1).collect()
+    rows = rules.select("anamoly", "compare_columns", "anamoly_type").limit(MAX_RULES + 1).collect()
     if len(rows) > MAX_RULES:
         raise ValueError(f"rule catalogue has more than {MAX_RULES} rows")
+    # SELECT DISTINCT, done here: the catalogue is a handful of rows
+    unique = {(r["anamoly"], tuple(r["compare_columns"] or ()), r["anamoly_type"]): r for r in rows}
     specs = []
-    for r in sorted(rows, key=lambda r: (r["anamoly_type"], r["anamoly"])):
+    for r in sorted(unique.values(), key=lambda r: (r["anamoly_type"], r["anamoly"])):
         name, cols, rid = r["anamoly"], list(r["compare_columns"] or []), r["anamoly_type"]
         if name in VALUE_RULES:
             if not cols or cols[-1] not in ATTRIBUTES:

@@ -13,10 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.functions.like import name_keys, pattern_keys
-
-_KEY = ["kind", "klen", "kh"]
-
+from driftlens.functions.like import name_keys, needs_grams, pattern_keys
 
 def _stored_columns(b: DataFrame, config_id) -> list:
     cols = [config_id.alias("config_id"), F.lower(F.col("table_name")).alias("table_name"), F.col("column_name")]
@@ -31,27 +28,30 @@ def _stored_columns(b: DataFrame, config_id) -> list:
 def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str) -> DataFrame:
     """Pairs (left row, right row) with ``right.name LIKE left.pattern``.
 
-    Works on distinct names and distinct patterns: every name emits all its
-    keys, key frequencies are counted, each pattern keeps its least frequent
-    required key, candidates come from an equi-join on that key and are
-    checked with ``LIKE``. A pattern with no literal anchor (``%``) has only
-    the catch-all key and is compared with every name, which is what it
-    matches.
+    Works on distinct patterns and distinct names. Each pattern lists the keys
+    it requires; names are expanded to their keys and at once semi-joined to
+    the requested ones; each pattern keeps its least frequent key; candidates
+    come from an equi-join on that key and are checked with ``LIKE``. A
+    pattern with no literal at all (``%``) has only the catch-all key and
+    meets every name, which is what it matches.
     """
+    pats = left.select(F.col(pattern_col).alias("_pattern")).distinct()
+    pk = pattern_keys(pats)
+    wanted = pk.select("_k").distinct()
+    # 3-gram keys on the name side only when some pattern needs them
+    grams = pats.where(needs_grams(F.col("_pattern"))).limit(1).count() > 0
+
     names = right.select(F.col(name_col).alias("_name")).distinct()
-    nk = names.select("_name", F.explode(name_keys(F.col("_name"))).alias("k")).select("_name", "k.*")
-    freq = nk.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("_freq"))
+    nk = name_keys(names, grams=grams).join(wanted, "_k", "left_semi")
+    freq = nk.groupBy("_k").agg(F.count(F.lit(1)).alias("_freq"))
 
-    pats = left.select(F.col(pattern_col).alias("_pattern")).distinct()
-    pk = pats.select("_pattern", F.explode(pattern_keys(F.col("_pattern"))).alias("k")).select("_pattern", "k.*")
     best = (
-        pk.join(freq, _KEY, "left")
+        pk.join(freq, "_k", "left")
         .groupBy("_pattern")
-        .agg(F.min_by(F.struct(*_KEY), F.coalesce(F.col("_freq"), F.lit(0))).alias("k"))
-        .select("_pattern", "k.*")
+        .agg(F.min_by("_k", F.coalesce(F.col("_freq"), F.lit(0))).alias("_k"))
     )
     pairs = (
-        best.join(nk, _KEY, "inner")
+        best.join(nk, "_k", "inner")
         .where(F.expr("_name LIKE _pattern"))
         .select("_pattern", "_name")
         .distinct()

@@ -10,6 +10,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # AQE may replace a sort-merge join by a shuffled hash join when every
+    # build-side partition is measured below this size (no sort of either side)
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -19,7 +22,7 @@ DEFAULTS = {
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "driftlens", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", "8g")
+    b = b.config("spark.driver.memory", "16g")
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
