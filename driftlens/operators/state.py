@@ -42,17 +42,12 @@ def advance_hwm(state: DataFrame, registry: DataFrame, check_type: str = "schema
     Computing the max from the same snapshot the run read (not at update time)
     means an entry added during the run is picked up next time. With no
     entries the old value is kept instead of becoming NULL. Other check types
-    pass through. The max is a one-row aggregate joined back by check type.
+    pass through. The max is an uncorrelated scalar subquery, evaluated once.
     """
-    latest = (
-        registry.where(F.col("check_type") == check_type)
-        .agg(F.max("updated_at").alias("_latest"))
-        .withColumn("_ct", F.lit(check_type))
-    )
-    s = state.join(F.broadcast(latest), state["check_type"] == latest["_ct"], "left")
-    return s.select(
+    latest = registry.where(F.col("check_type") == check_type).agg(F.max("updated_at")).scalar()
+    return state.select(
         "check_type",
-        F.when(F.col("check_type") == check_type, F.coalesce("_latest", "updated_at"))
+        F.when(F.col("check_type") == check_type, F.coalesce(latest, F.col("updated_at")))
         .otherwise(F.col("updated_at"))
         .alias("updated_at"),
     )
