@@ -11,14 +11,17 @@ application:
   baseline column,
 * any other name: baseline columns absent from the live side.
 
-Plan: one full outer join of baseline and live on (config_id, table_name,
-column_name), then every rule is a conditional struct over the joined row and
-the matches are exploded with ``inline``. Both inputs are shuffled once, on
-the full key, so no single table's columns have to share a task. Table
-presence for ``table_miss`` comes from the live side reduced to its distinct
-tables (partial aggregation before the shuffle); that side is bounded by the
-number of registered tables, and is broadcast only when the caller passes a
-checked bound, otherwise AQE decides from its materialised size.
+Plan: baseline LEFT JOIN live on (config_id, table_name, column_name); every
+baseline-side rule is a conditional struct over the joined row and the
+matches are exploded with ``inline``. New columns come from live LEFT ANTI
+baseline over the same two shuffles (reused). Both inputs are shuffled once,
+on the full key, so no single table's columns have to share a task, and AQE
+may split a skewed partition of either join's streamed side (it cannot for a
+FULL OUTER join). Table presence for ``table_miss`` comes from the live side
+reduced to its distinct tables (partial aggregation before the shuffle);
+that side is bounded by the number of registered tables, and is broadcast
+only when the caller passes a checked bound, otherwise AQE decides from its
+materialised size.
 """
 
 from __future__ import annotations
@@ -102,41 +105,53 @@ def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_ta
     ``old``/``new`` need the keys and the compared attributes. ``max_tables``
     is a proven upper bound on distinct live tables (e.g. the checked count of
     registry entries); when it is small enough the presence set is broadcast.
+
+    Plan: baseline LEFT JOIN live on the full key carries every baseline-side
+    rule (value changes, missing columns, missing tables); live LEFT ANTI
+    baseline gives new columns. Both joins read the same two shuffles
+    (exchange reuse), and unlike a FULL OUTER join both let AQE split a
+    skewed partition of their streamed side.
     """
     specs = rules if isinstance(rules, list) else rule_specs(rules)
     if not specs:
         return _empty(old.sparkSession)
     attrs = sorted({s.attr for s in specs if s.kind == "value"})
-    o = old.select(*KEYS, *[F.col(a).alias(f"_o_{a}") for a in attrs], F.lit(True).alias("_in_old"))
+    o = old.select(*KEYS, *[F.col(a).alias(f"_o_{a}") for a in attrs])
     n = new.select(*KEYS, *[F.col(a).alias(f"_n_{a}") for a in attrs], F.lit(True).alias("_in_new"))
-    j = o.join(n, KEYS, "full")
-
-    in_old = F.col("_in_old").isNotNull()
-    in_new = F.col("_in_new").isNotNull()
-    if any(s.kind == "table" for s in specs):
-        present = new.select(*TABLE_KEYS).distinct().withColumn("_has_table", F.lit(True))
-        if max_tables is not None and max_tables <= BROADCAST_TABLES:
-            present = F.broadcast(present)
-        j = j.join(present, TABLE_KEYS, "left")
-        table_gone = F.col("_has_table").isNull()
-    else:
-        table_gone = F.lit(False)
-
-    candidates = []
-    for s in specs:
-        if s.kind == "value":
-            o_c, n_c = F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}")
-            cond = in_old & changed(o_c, n_c)
-            row = _row(s, attr_cols=(o_c, n_c))
-        elif s.kind == "new":
-            cond, row = ~in_old, _row(s)
-        elif s.kind == "missing":
-            cond, row = in_old & ~in_new, _row(s)
+
+    out = []
+    old_side = [s for s in specs if s.kind != "new"]
+    if old_side:
+        j = o.join(n, KEYS, "left")
+        in_new = F.col("_in_new").isNotNull()
+        if any(s.kind == "table" for s in old_side):
+            present = new.select(*TABLE_KEYS).distinct().withColumn("_has_table", F.lit(True))
+            if max_tables is not None and max_tables <= BROADCAST_TABLES:
+                present = F.broadcast(present)
+            j = j.join(present, TABLE_KEYS, "left")
+            table_gone = F.col("_has_table").isNull()
         else:
-            cond, row = in_old & ~in_new & table_gone, _row(s, column=F.lit(None).cast("string"))
-        candidates.append(F.when(cond, row))
-    hits = F.filter(F.array(*candidates), lambda x: x.isNotNull())
-    return j.select(F.inline(hits))
+            table_gone = F.lit(False)
+        candidates = []
+        for s in old_side:
+            if s.kind == "value":
+                o_c, n_c = F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}")
+                candidates.append(F.when(changed(o_c, n_c), _row(s, attr_cols=(o_c, n_c))))
+            elif s.kind == "missing":
+                candidates.append(F.when(~in_new, _row(s)))
+            else:
+                candidates.append(F.when(~in_new & table_gone, _row(s, column=F.lit(None).cast("string"))))
+        out.append(j.select(F.inline(F.filter(F.array(*candidates), lambda x: x.isNotNull()))))
+    new_side = [s for s in specs if s.kind == "new"]
+    if new_side:
+        added = n.select(*KEYS).join(o.select(*KEYS), KEYS, "left_anti")
+        # one row per new column and per new-column rule
+        rows = F.array(*[_row(s) for s in new_side]) if len(new_side) > 1 else None
+        out.append(added.select(F.inline(rows)) if rows is not None else added.select(_row(new_side[0]).alias("_r")).select("_r.*"))
+    result = out[0]
+    for part in out[1:]:
+        result = result.unionByName(part)
+    return result
 
 
 def detect_union(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule]) -> DataFrame:

@@ -27,13 +27,14 @@ def test_no_python_udf_no_nested_loop(spark, name):
 
 def test_detect_all_exchanges_and_pruned_scans(spark):
     p = _explain(QUERIES["detect_all"](spark, SF_SMALL))
-    # two inputs of the full outer join, two for the baseline aggregation
-    # (fixture), one pre-aggregated table-presence set; no window exchange
+    # fixture aggregations feeding the left and anti joins (the joins shuffle
+    # on the full key only when AQE does not broadcast a measured-small
+    # side), one pre-aggregated table-presence set; no window, no full outer
     import re
 
     shuffles = re.findall(r"[+-] Exchange \(\d+\)", p)
-    assert len(shuffles) == 5, p
-    assert "Window" not in p
+    assert len(shuffles) <= 8, p
+    assert "Window" not in p and "FullOuter" not in p
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_quantity:double,l_returnflag:string,l_linestatus:string>" in p
 
 
