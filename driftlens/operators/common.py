@@ -14,10 +14,15 @@ def at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast hint behind a checked row count; beyond it the planner
-    (sort-merge or shuffled hash join, AQE at run time) decides."""
-    return F.broadcast(df) if at_most(df, max_rows) else df
+    (sort-merge or shuffled hash join, AQE at run time) decides.
+
+    ``bound_by`` is a cheaper DataFrame known to have at least as many rows
+    as ``df`` (e.g. the registry scan for entries derived from it); it is
+    counted instead of ``df``.
+    """
+    return F.broadcast(df) if at_most(bound_by if bound_by is not None else df, max_rows) else df
 
 
 def not_in(df: DataFrame, col: str, sub: DataFrame) -> DataFrame:

@@ -57,7 +57,8 @@ class Rule:
 
 def rule_specs(rules: DataFrame) -> list[Rule]:
     """Collect the (tiny) distinct rule catalogue to the driver and classify it."""
-    rows = rules.select("anamoly", "compare_columns", "anamoly_type").limit(MAX_RULES + 1).collect()
+    # one job (a bare limit-collect scans partitions in several rounds)
+    rows = rules.select("anamoly", "compare_columns", "anamoly_type").limit(MAX_RULES + 1).coalesce(1).collect()
     if len(rows) > MAX_RULES:
         raise ValueError(f"rule catalogue has more than {MAX_RULES} rows")
     # SELECT DISTINCT, done here: the catalogue is a handful of rows
@@ -82,23 +83,6 @@ def _empty(spark) -> DataFrame:
     return spark.createDataFrame([], DETECTED)
 
 
-def _row(rule: Rule, *, column: Column | None = None, attr_cols: tuple[Column, Column] | None = None) -> Column:
-    """One DETECTED row as a struct; every attribute NULL except the rule's own."""
-    fields: list[Column] = [
-        F.col("config_id").alias("config_id"),
-        F.col("table_name").alias("table_name"),
-        (column if column is not None else F.col("column_name")).alias("column_name"),
-        F.lit(rule.anamoly_id).cast("int").alias("anamoly_id"),
-    ]
-    for attr, dtype in ATTRIBUTES.items():
-        if attr_cols is not None and attr == rule.attr:
-            old, new = attr_cols
-        else:
-            old = new = F.lit(None).cast(dtype)
-        fields += [old.cast(dtype).alias(f"{attr}_old"), new.cast(dtype).alias(attr)]
-    return F.struct(*fields)
-
-
 def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_tables: int | None = None) -> DataFrame:
     """Every rule over every registered table, one distributed pass.
 
@@ -132,28 +116,56 @@ def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_ta
             table_gone = F.col("_has_table").isNull()
         else:
             table_gone = F.lit(False)
-        candidates = []
-        for s in old_side:
+        # which rules fire on this joined row: explode only their positions,
+        # then derive the output columns from the position
+        fired = []
+        for i, s in enumerate(old_side):
             if s.kind == "value":
-                o_c, n_c = F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}")
-                candidates.append(F.when(changed(o_c, n_c), _row(s, attr_cols=(o_c, n_c))))
+                cond = changed(F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}"))
             elif s.kind == "missing":
-                candidates.append(F.when(~in_new, _row(s)))
+                cond = ~in_new
             else:
-                candidates.append(F.when(~in_new & table_gone, _row(s, column=F.lit(None).cast("string"))))
-        out.append(j.select(F.inline(F.filter(F.array(*candidates), lambda x: x.isNotNull()))))
+                cond = ~in_new & table_gone
+            fired.append(F.when(cond, F.lit(i)))
+        hits = j.select("*", F.explode(F.filter(F.array(*fired), lambda x: x.isNotNull())).alias("_rule"))
+        out.append(hits.select(*_layout(old_side)))
     new_side = [s for s in specs if s.kind == "new"]
     if new_side:
         added = n.select(*KEYS).join(o.select(*KEYS), KEYS, "left_anti")
-        # one row per new column and per new-column rule
-        rows = F.array(*[_row(s) for s in new_side]) if len(new_side) > 1 else None
-        out.append(added.select(F.inline(rows)) if rows is not None else added.select(_row(new_side[0]).alias("_r")).select("_r.*"))
+        rule_ix = F.explode(F.array(*[F.lit(i) for i in range(len(new_side))])) if len(new_side) > 1 else F.lit(0)
+        out.append(added.select("*", rule_ix.alias("_rule")).select(*_layout(new_side)))
     result = out[0]
     for part in out[1:]:
         result = result.unionByName(part)
     return result
 
 
+def _layout(specs: list[Rule]) -> list[Column]:
+    """DETECTED columns for rows tagged with ``_rule``, a position in ``specs``."""
+    rule = F.col("_rule")
+
+    def among(pred) -> Column | None:
+        ix = [i for i, s in enumerate(specs) if pred(s)]
+        if not ix:
+            return None
+        return rule == ix[0] if len(ix) == 1 else rule.isin(ix)
+
+    ids = F.array(*[F.lit(s.anamoly_id) for s in specs])
+    is_table = among(lambda s: s.kind == "table")
+    cols = [
+        F.col("config_id"),
+        F.col("table_name"),
+        (F.when(~is_table, F.col("column_name")) if is_table is not None else F.col("column_name")).alias("column_name"),
+        (F.lit(specs[0].anamoly_id) if len(specs) == 1 else F.element_at(ids, rule + 1)).cast("int").alias("anamoly_id"),
+    ]
+    for attr, dtype in ATTRIBUTES.items():
+        mine = among(lambda s: s.kind == "value" and s.attr == attr)
+        for side, name in (("_o_", f"{attr}_old"), ("_n_", attr)):
+            v = F.when(mine, F.col(f"{side}{attr}")) if mine is not None else F.lit(None)
+            cols.append(v.cast(dtype).alias(name))
+    return cols
+
+
 def detect_union(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule]) -> DataFrame:
     """Same result as :func:`detect`, one join per rule (the reference's shape).
 

@@ -48,8 +48,10 @@ def _conditions(
     return conds
 
 
-def _match(entries: DataFrame, columns: DataFrame, case, source_case) -> DataFrame:
-    e = broadcast_if_small(entries.select("config_id", "source", "catalog_name", "schema_name", "tbl_name"))
+def _match(entries: DataFrame, columns: DataFrame, case, source_case, bound_by=None) -> DataFrame:
+    e = broadcast_if_small(
+        entries.select("config_id", "source", "catalog_name", "schema_name", "tbl_name"), bound_by=bound_by
+    )
     return e.join(columns, _conditions(e, columns, case, source_case), "inner"), e
 
 
@@ -58,14 +60,16 @@ def snapshot(
     entries: DataFrame,
     case: str | Mapping[str, str] = "lower",
     source_case: Mapping[str, str] | None = None,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Current column metadata of every entry, in the layout the diff compares.
 
     ``entries`` comes from ``parse_registry(lower_all=True)``. Identifiers and
     types are lowered, a NULL length becomes 0, the ordinal becomes an int,
-    and rows are de-duplicated (``SELECT DISTINCT``) per entry.
+    and rows are de-duplicated (``SELECT DISTINCT``) per entry. ``bound_by``:
+    see :func:`driftlens.operators.common.broadcast_if_small`.
     """
-    j, e = _match(entries, columns, case, source_case)
+    j, e = _match(entries, columns, case, source_case, bound_by)
     return j.select(
         e["config_id"],
         qualified_name(e["source"], columns["table_catalog"], columns["table_schema"], columns["table_name"]).alias(
@@ -84,6 +88,7 @@ def capture(
     columns: DataFrame,
     case: str | Mapping[str, str] = "exact",
     source_case: Mapping[str, str] | None = None,
+    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Baseline rows (schema_configuration layout) for the given entries.
 
@@ -91,7 +96,7 @@ def capture(
     DISTINCT), as the original did. ``entries`` comes from
     :func:`driftlens.operators.registry.due_entries`.
     """
-    j, e = _match(entries, columns, case, source_case)
+    j, e = _match(entries, columns, case, source_case, bound_by)
     return j.select(
         e["config_id"],
         F.lower(columns["column_name"]).alias("column_name"),

@@ -35,7 +35,12 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
     pattern with no literal at all (``%``) has only the catch-all key and
     meets every name, which is what it matches.
     """
-    pats = left.select(F.col(pattern_col).alias("_pattern")).distinct()
+    # Patterns are few bytes but costly per row (regex parsing here, a regex
+    # compiled per candidate for LIKE later); AQE would coalesce such a small
+    # shuffle into one or two tasks, so the pattern side is spread explicitly
+    # over the cluster's cores.
+    width = left.sparkSession.sparkContext.defaultParallelism
+    pats = left.select(F.col(pattern_col).alias("_pattern")).repartition(width, "_pattern").distinct()
     pk = pattern_keys(pats)
     wanted = pk.select("_k").distinct()
     # 3-gram keys on the name side only when some pattern needs them
@@ -49,6 +54,7 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
         pk.join(freq, "_k", "left")
         .groupBy("_pattern")
         .agg(F.min_by("_k", F.coalesce(F.col("_freq"), F.lit(0))).alias("_k"))
+        .repartition(width, "_pattern")
     )
     pairs = (
         best.join(nk, "_k", "inner")

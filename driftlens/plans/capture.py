@@ -43,7 +43,10 @@ def incremental_capture(
     """The capture run as DataFrames; nothing is written here."""
     hwm = current_hwm(state, check_type)
     due = due_entries(registry, baseline, state, check_type, hwm=hwm)
-    captured = capture(due, columns, case=case, source_case=source_case)
+    # due entries are a subset of the registry's entries of this check type:
+    # count that plain scan to bound the broadcast, not the due-entry plan
+    bound = registry.where(registry["check_type"] == check_type)
+    captured = capture(due, columns, case=case, source_case=source_case, bound_by=bound)
     names = [f.name for f in BASELINE.fields]
     return CaptureRun(
         due=due,

@@ -17,7 +17,7 @@ from driftlens.operators.common import BROADCAST_ROWS, at_most
 from driftlens.operators.detect import detect, rule_specs, to_anomaly_rows
 from driftlens.operators.registry import parse_registry
 from driftlens.operators.reports import all_reports
-from driftlens.operators.snapshot import snapshot
+from driftlens.operators.snapshot import UPPER_CASE_CONNECTORS, snapshot
 from driftlens.operators.stored import stored
 
 
@@ -36,13 +36,16 @@ def plan_detection(
     rules: DataFrame,
     run_ts,
     case: str | Mapping[str, str] = "lower",
-    source_case: Mapping[str, str] | None = None,
+    source_case: Mapping[str, str] | None = UPPER_CASE_CONNECTORS,
     match: str = "eq",
     check_type: str = "schema",
     freeze_live: bool = True,
 ) -> DetectionRun:
     """Build the detection plan.
 
+    Identifier case defaults to the original rule: ``snowflake_uat`` folds to
+    upper case, every other connector to ``case`` (lower).
+
     ``freeze_live`` checkpoints the live snapshot (reliable checkpoint in
     ``spark.checkpoint.dir``): live metadata is read exactly once per run, so
     every rule sees the same state even if a source changes meanwhile, and a

@@ -156,7 +156,9 @@ def captured_configs_q(spark, sf_dir):
 
 
 def capture_baseline(spark, sf_dir):
-    return capture(_due(spark, sf_dir), fx.live_columns(spark, sf_dir), case=CAPTURE_CASE)
+    reg = fx.registry(spark, sf_dir)
+    due = due_entries(reg, fx.baseline(spark, sf_dir), fx.state(spark))
+    return capture(due, fx.live_columns(spark, sf_dir), case=CAPTURE_CASE, bound_by=reg)
 
 
 def incremental_capture_q(spark, sf_dir):

@@ -14,6 +14,8 @@ DEFAULTS = {
     # build-side partition is measured below this size (no sort of either side)
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # split even small single-file inputs across all cores (row-group bound)
+    "spark.sql.files.openCostInBytes": "4MB",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
