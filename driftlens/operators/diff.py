@@ -64,13 +64,17 @@ def missing_tables(old: DataFrame, new: DataFrame, distinct: bool = False) -> Da
 
 
 def diff_status(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Full outer join kept as data: ``both``, ``left_only`` or ``right_only`` per key."""
-    o = old.select(*KEYS, F.lit(True).alias("_in_old"))
+    """The full-outer-join indicator kept as data: ``both``, ``left_only`` or
+    ``right_only`` per key, with a full outer join's multiplicity.
+
+    Built as baseline LEFT JOIN live (``both`` / ``left_only``) plus live LEFT
+    ANTI baseline (``right_only``) over the same two shuffles, so AQE can split
+    a skewed partition, which it cannot do for a FULL OUTER join.
+    """
+    o = old.select(*KEYS)
     n = new.select(*KEYS, F.lit(True).alias("_in_new"))
-    j = o.join(n, KEYS, "full")
-    status = (
-        F.when(F.col("_in_old").isNull(), "right_only")
-        .when(F.col("_in_new").isNull(), "left_only")
-        .otherwise("both")
+    left = o.join(n, KEYS, "left").select(
+        *KEYS, F.when(F.col("_in_new").isNull(), "left_only").otherwise("both").alias("status")
     )
-    return j.select(*KEYS, status.alias("status"))
+    right = new.select(*KEYS).join(o, KEYS, "left_anti").select(*KEYS, F.lit("right_only").alias("status"))
+    return left.unionByName(right)

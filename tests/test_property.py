@@ -39,3 +39,21 @@ def test_snapshot_against_itself_is_clean_in_strict_mode(spark, rows):
     rules = spark.createDataFrame(RULE_ROWS, RULES)
     structural = detect(s, s, rules).where("anamoly_id in (0, 1, 6)")
     assert structural.count() == 0
+
+
+@SETTINGS
+@given(old=st.lists(row, max_size=8), new=st.lists(row, max_size=8))
+def test_diff_status_equals_full_outer_join(spark, old, new):
+    from pyspark.sql import functions as F
+
+    from driftlens.operators import diff_status
+
+    o, n = snap(spark, old), snap(spark, new)
+    keys = ["config_id", "table_name", "column_name"]
+    oo = o.select(*keys, F.lit(1).alias("_o"))
+    nn = n.select(*keys, F.lit(1).alias("_n"))
+    full = oo.join(nn, keys, "full").select(
+        *keys,
+        F.when(F.col("_o").isNull(), "right_only").when(F.col("_n").isNull(), "left_only").otherwise("both").alias("status"),
+    )
+    assert bag(diff_status(o, n)) == bag(full)
