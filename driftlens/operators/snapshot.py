@@ -107,8 +107,15 @@ def capture(
     )
 
 
-def unmatched_entries(entries: DataFrame, columns: DataFrame, case="exact", source_case=None) -> DataFrame:
+def unmatched_entries(entries: DataFrame, columns: DataFrame, case="exact", source_case=None, bound_by=None) -> DataFrame:
     """Entries whose table has no live column (the original skipped them
-    silently and the HWM then passed them by)."""
-    e = entries.select("config_id", "source", "catalog_name", "schema_name", "tbl_name")
-    return e.join(columns, _conditions(e, columns, case, source_case), "left_anti")
+    silently and the HWM then passed them by).
+
+    The matched entries come from the same broadcast join as the capture and
+    are de-duplicated before the anti join, so the large live side is never
+    shuffled for this (an anti join can only broadcast its right side).
+    """
+    cols = ["config_id", "source", "catalog_name", "schema_name", "tbl_name"]
+    j, e = _match(entries, columns, case, source_case, bound_by)
+    matched = j.select(*[e[c] for c in cols]).distinct()
+    return entries.select(*cols).join(matched, cols, "left_anti")

@@ -51,7 +51,7 @@ def incremental_capture(
     return CaptureRun(
         due=due,
         captured=captured.select(*names),
-        unmatched=unmatched_entries(due, columns, case=case, source_case=source_case),
+        unmatched=unmatched_entries(due, columns, case=case, source_case=source_case, bound_by=bound),
         state_after=advance_hwm(state, registry, check_type),
         baseline_after=baseline.select(*names).unionByName(captured.select(*names)),
         hwm=None if hwm is NO_STATE else hwm,
