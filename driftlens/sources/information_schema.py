@@ -7,8 +7,9 @@ is matched to all entries by one join
 (:func:`driftlens.operators.snapshot.snapshot`).
 
 Only the distinct (connector, catalog, schema) triples of the registry reach
-the driver, to write the queries; that set is bounded by the number of
-schemas, not by tables or columns.
+the driver, to write the queries, plus one table-name bound per
+``TABLES_PER_PARTITION`` registered tables of a large schema; a schema that
+holds a large share of all tables is read in many range partitions.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ COLUMNS = [f.name for f in LIVE_COLUMNS.fields]
 SCHEMAS_PER_PARTITION = 16
 # More distinct (connector, catalog, schema) triples than this is not a registry.
 MAX_SCHEMAS = 1_000_000
+# Registered tables per JDBC partition inside one large schema.
+TABLES_PER_PARTITION = 2_000
 
 
 def _fold_sql(expr: str, case: str) -> str:
@@ -48,22 +51,69 @@ def schema_predicates(schemas: list[str], case: str, per_partition: int = SCHEMA
     out = []
     for i in range(0, len(schemas), per_partition):
         chunk = schemas[i : i + per_partition]
-        lits = ", ".join(sql_literal(s.upper() if case in ("upper", "fold") else s.lower() if case == "lower" else s) for s in chunk)
+        lits = ", ".join(_lit(s, case) for s in chunk)
         out.append(f"{col} IN ({lits})")
     return out
 
 
-def registered_schemas(entries: DataFrame) -> dict[tuple[str, str], list[str]]:
-    """(connector, catalog) -> registered schemas, from parsed entries."""
-    rows = (
-        entries.select("source", "catalog_name", "schema_name").distinct().limit(MAX_SCHEMAS + 1).collect()
+def _lit(value: str, case: str) -> str:
+    return sql_literal(value.upper() if case in ("upper", "fold") else value.lower() if case == "lower" else value)
+
+
+def table_range_predicates(schema: str, bounds: list[str], case: str) -> list[str]:
+    """Complementary ``table_name`` ranges inside one schema: every row of the
+    schema satisfies exactly one of them, whatever collation the source
+    orders strings by; the bounds only decide the balance."""
+    col_s = "upper(table_schema)" if case == "fold" else "table_schema"
+    col_t = "upper(table_name)" if case == "fold" else "table_name"
+    base = f"{col_s} = {_lit(schema, case)}"
+    lits = [_lit(b, case) for b in bounds]
+    if not lits:
+        return [base]
+    preds = [f"{base} AND {col_t} < {lits[0]}"]
+    preds += [f"{base} AND {col_t} >= {lo} AND {col_t} < {hi}" for lo, hi in zip(lits, lits[1:])]
+    preds.append(f"{base} AND {col_t} >= {lits[-1]}")
+    return preds
+
+
+def registered_schemas(entries: DataFrame, tables_per_partition: int = TABLES_PER_PARTITION) -> dict[tuple[str, str], dict[str, list[str]]]:
+    """(connector, catalog) -> {schema: table-name bounds}.
+
+    A schema holding more than ``tables_per_partition`` registered tables gets
+    a bound every that many tables (a window over the registry, sorted by
+    name), so no single read partition carries a hot schema. Only the bounds
+    reach the driver: at most one per ``tables_per_partition`` tables.
+    """
+    from pyspark.sql import Window
+
+    keys = ["source", "catalog_name", "schema_name"]
+    tables = entries.select(*keys, "tbl_name").distinct()
+    w = Window.partitionBy(*keys).orderBy("tbl_name")
+    bounds = (
+        tables.withColumn("_rn", F.row_number().over(w))
+        .where((F.col("_rn") % tables_per_partition) == 1)
+        .where(F.col("_rn") > 1)
+        .groupBy(*keys)
+        .agg(F.sort_array(F.collect_list("tbl_name")).alias("bounds"))
     )
+    schemas = entries.select(*keys).distinct().join(bounds, keys, "left")
+    rows = schemas.limit(MAX_SCHEMAS + 1).collect()
     if len(rows) > MAX_SCHEMAS:
         raise ValueError("too many registered schemas for one metadata read")
-    out: dict[tuple[str, str], list[str]] = defaultdict(list)
+    out: dict[tuple[str, str], dict[str, list[str]]] = defaultdict(dict)
     for r in rows:
-        out[(r["source"], r["catalog_name"])].append(r["schema_name"])
-    return {k: sorted(set(v)) for k, v in out.items()}
+        out[(r["source"], r["catalog_name"])][r["schema_name"]] = list(r["bounds"] or [])
+    return dict(out)
+
+
+def catalog_predicates(schemas: dict[str, list[str]], case: str) -> list[str]:
+    """Read partitions of one catalog: small schemas grouped by ``IN`` lists,
+    large ones split by table-name ranges."""
+    small = sorted(sch for sch, b in schemas.items() if not b)
+    preds = schema_predicates(small, case) if small else []
+    for sch in sorted(sch for sch, b in schemas.items() if b):
+        preds += table_range_predicates(sch, schemas[sch], case)
+    return preds
 
 
 def read_live_columns(
@@ -72,16 +122,17 @@ def read_live_columns(
     connectors: Mapping[str, Connector],
     lakehouse_tables: Mapping[str, DataFrame] | None = None,
     qualified: bool = True,
+    tables_per_partition: int = TABLES_PER_PARTITION,
 ) -> DataFrame:
     """information_schema.columns of every registered (connector, catalog),
     tagged with ``source``; lakehouse connectors read Spark table schemas."""
     from driftlens.sources.lakehouse import snapshot_from_tables
 
     parts = []
-    for (source, catalog), schemas in sorted(registered_schemas(entries).items()):
+    for (source, catalog), schemas in sorted(registered_schemas(entries, tables_per_partition).items()):
         conn = lookup(connectors, source)
         if conn.is_jdbc:
-            preds = schema_predicates(schemas, conn.identifier_case)
+            preds = catalog_predicates(schemas, conn.identifier_case)
             df = read_partitioned(spark, conn, catalog_relation(catalog, qualified), preds)
         else:
             df = snapshot_from_tables(spark, lakehouse_tables or {}, catalog=catalog)
