@@ -61,49 +61,57 @@ def _lit(value: str, case: str) -> str:
 
 
 def table_range_predicates(schema: str, bounds: list[str], case: str) -> list[str]:
-    """Complementary ``table_name`` ranges inside one schema: every row of the
-    schema satisfies exactly one of them, whatever collation the source
-    orders strings by; the bounds only decide the balance."""
+    """``table_name`` ranges inside one schema that cover every row exactly
+    once under whatever collation the source orders strings by.
+
+    Partition ``i`` holds the names whose *first* bound above them is
+    ``bounds[i]`` (``name < bounds[i]`` and not below any earlier bound); the
+    last holds the names below none. Each row has exactly one such first
+    bound, or none, whatever the order of ``bounds`` in the source's
+    collation, so the bounds only decide the balance, never the result.
+    (Names that are NULL belong to no registered table and match no entry.)
+    """
     col_s = "upper(table_schema)" if case == "fold" else "table_schema"
     col_t = "upper(table_name)" if case == "fold" else "table_name"
     base = f"{col_s} = {_lit(schema, case)}"
-    lits = [_lit(b, case) for b in bounds]
-    if not lits:
-        return [base]
-    preds = [f"{base} AND {col_t} < {lits[0]}"]
-    preds += [f"{base} AND {col_t} >= {lo} AND {col_t} < {hi}" for lo, hi in zip(lits, lits[1:])]
-    preds.append(f"{base} AND {col_t} >= {lits[-1]}")
+    below = [f"{col_t} < {_lit(b, case)}" for b in bounds]
+    preds = []
+    for i in range(len(below) + 1):
+        terms = [base] + [f"NOT ({c})" for c in below[:i]] + ([below[i]] if i < len(below) else [])
+        preds.append(" AND ".join(terms))
     return preds
 
 
 def registered_schemas(entries: DataFrame, tables_per_partition: int = TABLES_PER_PARTITION) -> dict[tuple[str, str], dict[str, list[str]]]:
     """(connector, catalog) -> {schema: table-name bounds}.
 
-    A schema holding more than ``tables_per_partition`` registered tables gets
-    a bound every that many tables (a window over the registry, sorted by
-    name), so no single read partition carries a hot schema. Only the bounds
-    reach the driver: at most one per ``tables_per_partition`` tables.
+    A schema holding more than ``tables_per_partition`` registered tables is
+    split at a hash-chosen sample of its table names: a name is a split
+    point when its hash falls in one of ``tables_per_partition`` buckets, so
+    about one name in that many is chosen and each range holds about that
+    many tables. Counting and choosing are a partial aggregation and a
+    filter; no schema's tables are gathered in one task, and only the split
+    points (about one per ``tables_per_partition`` tables) reach the driver.
     """
-    from pyspark.sql import Window
-
     keys = ["source", "catalog_name", "schema_name"]
     tables = entries.select(*keys, "tbl_name").distinct()
-    w = Window.partitionBy(*keys).orderBy("tbl_name")
-    bounds = (
-        tables.withColumn("_rn", F.row_number().over(w))
-        .where((F.col("_rn") % tables_per_partition) == 1)
-        .where(F.col("_rn") > 1)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("tbl_name")).alias("bounds"))
+    counts = tables.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    large = counts.where(F.col("_n") > tables_per_partition).select(*keys)
+    split_points = tables.where(F.pmod(F.xxhash64("tbl_name"), F.lit(tables_per_partition)) == 0).join(large, keys, "left_semi")
+    rows = (
+        counts.select(*keys, F.lit(None).cast("string").alias("tbl_name"))
+        .unionByName(split_points)
+        .limit(MAX_SCHEMAS + 1)
+        .collect()
     )
-    schemas = entries.select(*keys).distinct().join(bounds, keys, "left")
-    rows = schemas.limit(MAX_SCHEMAS + 1).collect()
     if len(rows) > MAX_SCHEMAS:
         raise ValueError("too many registered schemas for one metadata read")
     out: dict[tuple[str, str], dict[str, list[str]]] = defaultdict(dict)
     for r in rows:
-        out[(r["source"], r["catalog_name"])][r["schema_name"]] = list(r["bounds"] or [])
-    return dict(out)
+        bounds = out[(r["source"], r["catalog_name"])].setdefault(r["schema_name"], [])
+        if r["tbl_name"] is not None:
+            bounds.append(r["tbl_name"])
+    return {k: {sch: sorted(b) for sch, b in v.items()} for k, v in out.items()}
 
 
 def catalog_predicates(schemas: dict[str, list[str]], case: str) -> list[str]:
