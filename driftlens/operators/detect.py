@@ -17,11 +17,13 @@ matches are exploded with ``inline``. New columns come from live LEFT ANTI
 baseline over the same two shuffles (reused). Both inputs are shuffled once,
 on the full key, so no single table's columns have to share a task, and AQE
 may split a skewed partition of either join's streamed side (it cannot for a
-FULL OUTER join). Table presence for ``table_miss`` comes from the live side
-reduced to its distinct tables (partial aggregation before the shuffle);
-that side is bounded by the number of registered tables, and is broadcast
-only when the caller passes a checked bound, otherwise AQE decides from its
-materialised size.
+FULL OUTER join). Table presence for ``table_miss`` is looked up only for
+baseline rows that met no live column (a matched row's table is present):
+the live side reduced to its distinct tables (partial aggregation before the
+shuffle) is broadcast when the caller passes a checked bound on its size
+(registry-sized); otherwise the dropped tables are found at table level and
+joined salted, so that a dropped table holding a large share of all rows is
+spread over several tasks.
 """
 
 from __future__ import annotations
@@ -33,7 +35,14 @@ from pyspark.sql import functions as F
 
 from driftlens.functions.names import ts_ntz
 from driftlens.functions.predicates import changed
-from driftlens.operators.diff import missing_columns, missing_tables, new_columns, value_change
+from driftlens.operators.diff import (
+    BROADCAST_TABLES,
+    missing_columns,
+    missing_tables,
+    new_columns,
+    table_gone,
+    value_change,
+)
 from driftlens.types import ANOMALY, ATTRIBUTES, DETECTED, KEYS, TABLE_KEYS
 
 # Rule names the dispatch recognises.
@@ -43,8 +52,6 @@ TABLE_MISS = "table_miss"
 
 # More rule rows than this is not a rule catalogue.
 MAX_RULES = 10_000
-# Largest table count whose presence set is broadcast on the caller's word.
-BROADCAST_TABLES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -88,7 +95,9 @@ def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_ta
 
     ``old``/``new`` need the keys and the compared attributes. ``max_tables``
     is a proven upper bound on distinct live tables (e.g. the checked count of
-    registry entries); when it is small enough the presence set is broadcast.
+    registry entries); when it is small enough the presence set is broadcast,
+    otherwise the gone tables are found at table level and joined salted
+    (:func:`driftlens.operators.diff.table_gone`).
 
     Plan: baseline LEFT JOIN live on the full key carries every baseline-side
     rule (value changes, missing columns, missing tables); live LEFT ANTI
@@ -109,13 +118,17 @@ def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_ta
         j = o.join(n, KEYS, "left")
         in_new = F.col("_in_new").isNotNull()
         if any(s.kind == "table" for s in old_side):
-            present = new.select(*TABLE_KEYS).distinct().withColumn("_has_table", F.lit(True))
             if max_tables is not None and max_tables <= BROADCAST_TABLES:
-                present = F.broadcast(present)
-            j = j.join(present, TABLE_KEYS, "left")
-            table_gone = F.col("_has_table").isNull()
+                # broadcast lookup: map-side, so every row may take it
+                j = table_gone(j, new, max_tables)
+            else:
+                # a row that met a live column has its table present; only
+                # the unmatched rows (dropped columns) are shuffled for it
+                matched = j.where(in_new).withColumn("_table_gone", F.lit(None).cast("boolean"))
+                j = matched.unionByName(table_gone(j.where(~in_new), new))
+            gone = F.col("_table_gone").isNotNull()
         else:
-            table_gone = F.lit(False)
+            gone = F.lit(False)
         # which rules fire on this joined row: explode only their positions,
         # then derive the output columns from the position
         fired = []
@@ -125,7 +138,7 @@ def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_ta
             elif s.kind == "missing":
                 cond = ~in_new
             else:
-                cond = ~in_new & table_gone
+                cond = ~in_new & gone
             fired.append(F.when(cond, F.lit(i)))
         hits = j.select("*", F.explode(F.filter(F.array(*fired), lambda x: x.isNotNull())).alias("_rule"))
         out.append(hits.select(*_layout(old_side)))

@@ -30,6 +30,7 @@ from driftlens.operators import (
     value_change,
 )
 from driftlens.operators.common import not_in
+from driftlens.operators.diff import BROADCAST_TABLES
 from driftlens.plans.capture import incremental_capture
 from driftlens.sources import fixtures as fx
 
@@ -135,7 +136,7 @@ def hwm_advance(spark, sf_dir):
 
 def detect_all(spark, sf_dir):
     b, c = _pair(spark, sf_dir)
-    return detect(b, c, fx.rules(spark))
+    return detect(b, c, fx.rules(spark), max_tables=fx.live_table_bound(spark, sf_dir, BROADCAST_TABLES))
 
 
 def anomaly_rows(spark, sf_dir):
