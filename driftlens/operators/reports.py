@@ -49,6 +49,12 @@ def report(
     ``date(updated_at) = day``, so it can prune a run-date partitioned sink and
     push down to the scan. The anomaly id comes from the rule catalogue.
     Sorted by source then attribute.
+
+    Identical report rows are common (a dropped table gives one row per
+    baseline column, all alike), so they are counted first (partial
+    aggregation before the shuffle), the distinct rows are sorted, and the
+    copies are expanded after the sort: every row is kept and in order, and
+    no range partition of the sort holds one hot group.
     """
     if kind not in REPORTS:
         raise KeyError(f"unknown report {kind!r}; expected one of {sorted(REPORTS)}")
@@ -66,7 +72,11 @@ def report(
         cols += [F.col(f"{value_col}_old").alias("Previous"), F.col(value_col).alias("Current")]
     cols.append(F.lit(link).alias("validation"))
     order = ["Data_Source", "Attributes"] if with_attr else ["Data_Source"]
-    return j.select(*cols).orderBy(*order)
+    rows = j.select(*cols)
+    names = rows.columns
+    counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).orderBy(*order)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
+    return counted.select(*names, copies.alias("_copy")).drop("_copy")
 
 
 def all_reports(anomalies, registry, rules, day, link) -> dict[str, DataFrame]:
