@@ -10,8 +10,13 @@ BROADCAST_ROWS = 1_000_000
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that plus one."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain distributed count: each task counts its share and sends one
+    number to the final aggregation. (``limit(max_rows + 1).count()`` would
+    let every task send up to ``max_rows + 1`` rows into one partition.)
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
