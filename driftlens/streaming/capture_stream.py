@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -48,7 +49,11 @@ def start_capture_stream(
         entries = parse_registry(batch, check_type, lower_all=False)
         try:
             captured_ids = spark.read.schema(BASELINE).parquet(baseline_path).select("config_id")
-        except Exception:  # no baseline written yet
+        except AnalysisException as e:
+            # only "no baseline written yet"; any other read error must fail the
+            # batch, or an empty guard would capture entries a second time
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             captured_ids = spark.createDataFrame([], BASELINE).select("config_id")
         due = not_in(entries, "config_id", captured_ids)
         cols = live_columns() if callable(live_columns) else live_columns
