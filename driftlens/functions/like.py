@@ -58,8 +58,12 @@ def needs_grams(pattern: Column) -> Column:
     return (a["prefix"] == "") & (a["suffix"] == "") & ~a["has_escape"] & inner
 
 
-def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern") -> DataFrame:
-    """(pattern, key) rows: the keys a pattern requires of any name it matches."""
+def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern", grams: bool = True) -> DataFrame:
+    """(pattern, key) rows: the keys a pattern requires of any name it matches.
+
+    ``grams=False`` is for a caller that knows no pattern satisfies
+    :func:`needs_grams`; the (then empty) 3-gram branch is not planned.
+    """
     p = F.col(pattern_col)
     a = pattern_anchors(p)
     pre = _substr(a["prefix"], F.lit(1), ANCHOR)
@@ -78,6 +82,8 @@ def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern") -> DataFram
         ).alias("_k"),
     ).where(F.col("_k").isNotNull())
 
+    if not grams:
+        return base
     # patterns with only inner literals: every 3-gram of every literal segment
     g = patterns.where(needs_grams(p)).select(p.alias("_pattern"), F.explode(F.split(p, "[_%]")).alias("_seg"))
     g = g.select("_pattern", "_seg", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("_seg") - (GRAM - 1), F.lit(1)))).alias("_i"))

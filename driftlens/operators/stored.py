@@ -41,11 +41,11 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
     # over the cluster's cores.
     width = left.sparkSession.sparkContext.defaultParallelism
     pats = left.select(F.col(pattern_col).alias("_pattern")).repartition(width, "_pattern").distinct()
-    pk = pattern_keys(pats)
-    wanted = pk.select("_k").distinct()
-    # 3-gram keys on the name side only when some pattern needs them (probed
-    # on the raw column: no shuffle, and it stops at the first hit)
+    # 3-gram keys only when some pattern needs them (probed on the raw
+    # column: no shuffle, and it stops at the first hit)
     grams = left.where(needs_grams(F.col(pattern_col))).limit(1).count() > 0
+    pk = pattern_keys(pats, grams=grams)
+    wanted = pk.select("_k").distinct()
 
     names = right.select(F.col(name_col).alias("_name")).distinct()
     nk = name_keys(names, grams=grams).join(wanted, "_k", "left_semi")
