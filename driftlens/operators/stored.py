@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.functions.like import name_keys, needs_grams, pattern_keys
+from driftlens.operators.common import BROADCAST_ROWS, at_most
 
 def _stored_columns(b: DataFrame, config_id) -> list:
     cols = [config_id.alias("config_id"), F.lower(F.col("table_name")).alias("table_name"), F.col("column_name")]
@@ -46,6 +47,14 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
     grams = left.where(needs_grams(F.col(pattern_col))).limit(1).count() > 0
     pk = pattern_keys(pats, grams=grams)
     wanted = pk.select("_k").distinct()
+    # Without 3-grams a pattern requires at most two keys, so the wanted set
+    # is bounded by twice the pattern rows: under that checked bound it is
+    # broadcast, the name keys stay map-side and reach the candidate join
+    # through a plain shuffle on the key, which AQE can split when one key is
+    # shared by a large share of all names (a common prefix, the catch-all
+    # key of '%'). With 3-grams there is no such bound; AQE decides.
+    if not grams and at_most(left, BROADCAST_ROWS // 2):
+        wanted = F.broadcast(wanted)
 
     names = right.select(F.col(name_col).alias("_name")).distinct()
     nk = name_keys(names, grams=grams).join(wanted, "_k", "left_semi")
