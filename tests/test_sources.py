@@ -87,3 +87,25 @@ def test_split_point_plan_gathers_no_group(spark):
         pyspark.sql.DataFrame.collect = orig
     plan = "\n".join(captured)
     assert "Window" not in plan and "collect_list" not in plan, plan
+
+
+def test_bounded_row_check_is_a_distributed_count(spark):
+    """at_most counts per task (one number each to the final aggregation);
+    it never funnels up to max_rows rows per task into one partition."""
+    from driftlens.operators.common import at_most
+
+    df = spark.range(0, 10_000, numPartitions=8)
+    cls = type(df)
+    plans = []
+    orig = cls.count
+
+    def spy(self):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return orig(self)
+
+    cls.count = spy
+    try:
+        assert at_most(df, 10_000) and not at_most(df, 9_999)
+    finally:
+        cls.count = orig
+    assert plans and all("Limit" not in p and "SinglePartition" not in p for p in plans), plans
