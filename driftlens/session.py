@@ -35,10 +35,13 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "dri
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The reliable checkpoint folder: the cluster's ``spark.checkpoint.dir``
-    when set; only when unset (local tests) a fresh scratch folder."""
+    when set; when unset, a fresh scratch folder if the master is local (one
+    machine, as in tests), and an error on a cluster."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="driftlens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
