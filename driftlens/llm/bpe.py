@@ -28,7 +28,9 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Entries of a worker's word table; when full, a new one is begun.
-TABLE_WORDS = 400_000
+TABLE_WORDS = 200_000
+#: Texts are taken in groups of about so many characters.
+GROUP_CHARS = 1_000_000
 #: Longer words are encoded by merging, outside the trie (its depth is bounded).
 TRIE_DEPTH = 64
 
@@ -78,7 +80,7 @@ def _bytes_as_chars() -> list[str]:
 class Vocabulary:
     """Merges, ids and split pattern of a word-ending byte-level BPE file."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merges: bool = True):
         import json
 
         with open(path, encoding="utf-8") as f:
@@ -87,7 +89,7 @@ class Vocabulary:
         self.path = path
         self.end = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
-        self.rank = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        self.rank: dict[tuple[str, str], int] = {} if not merges else {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.tokens = {i: t for t, i in self.ids.items()} | {a["id"]: a["content"] for a in spec["added_tokens"]}
         self.special = [a["content"] for a in spec["added_tokens"]]
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -210,10 +212,12 @@ class Encoder:
     one space: what the library's decode gives for a file without a decoder)."""
 
     def __init__(self, path: str, by_trie: bool = True):
-        self.vocab = Vocabulary(path)
+        self.vocab = Vocabulary(path, by_trie)
         self.by_trie = by_trie
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.spelled: dict[str, bytes] = {}
+        self.older_spelled: dict[str, bytes] = {}
 
     def text_of(self, ids: list[int]) -> bytes:
         return " ".join([self.vocab.tokens[i] for i in ids]).encode()
@@ -229,7 +233,9 @@ class Encoder:
             found = {p: [t.id for t in model.tokenize("".join([chars[b] for b in p.encode()]))] for p in new}
         for u, ps in parts.items():
             ids = found[ps[0]] if len(ps) == 1 else [i for p in ps for i in found[p]]
-            self.words[u] = struct.pack(f"<{len(ids)}I", *ids), self.text_of(ids) if spell else b""
+            self.words[u] = struct.pack(f"<{len(ids)}I", *ids)
+            if spell:
+                self.spelled[u] = self.text_of(ids)
 
     def encode_batch(self, texts: list[str | None], spell: bool) -> Iterator[tuple[bytes, bytes]]:
         """spell: give the decoded text too. Texts are taken in groups, so that
@@ -238,7 +244,7 @@ class Encoder:
         for text in texts:
             group.append(text or "")
             size += len(group[-1])
-            if size > 4_000_000:
+            if size > GROUP_CHARS:
                 yield from self._encode_group(group, spell)
                 group, size = [], 0
         yield from self._encode_group(group, spell)
@@ -252,20 +258,20 @@ class Encoder:
                 cut.append(unicodedata.normalize("NFC", text).lower().split())
         if len(self.words) > TABLE_WORDS:  # only the words that come again are carried over
             self.older, self.words = self.words, {}
+            self.older_spelled, self.spelled = self.spelled, {}
         new = set().union(*filter(None, cut)) - self.words.keys()
         for u in new & self.older.keys():
             self.words[u] = self.older[u]
+            if spell:
+                self.spelled[u] = self.older_spelled[u]
         self._learn(new - self.words.keys(), spell)
-        word = self.words.__getitem__
+        word, spelled = self.words.__getitem__, self.spelled.__getitem__
         for text, units in zip(texts, cut):
             if units is None:
                 ids = library(self.vocab.path).encode(text, add_special_tokens=False).ids
                 yield struct.pack(f"<{len(ids)}I", *ids), self.text_of(ids) if spell else b""
-            elif spell:
-                both = list(map(word, units))
-                yield b"".join([b[0] for b in both]), b" ".join([b[1] for b in both if b[0]])
             else:
-                yield b"".join([word(u)[0] for u in units]), b""
+                yield b"".join(map(word, units)), b" ".join(filter(None, map(spelled, units))) if spell else b""
 
     @staticmethod
     def _is_unsure(text: str) -> bool:
@@ -278,7 +284,8 @@ class Encoder:
 
 @functools.cache
 def encoder(path: str, by_trie: bool = True) -> Encoder:
-    """One a Python worker, so that its word table outlives a task."""
+    """One a Python worker, so that its word table outlives a task. A caller
+    asks for decoded texts always or never."""
     return Encoder(path, by_trie)
 
 

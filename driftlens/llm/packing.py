@@ -31,7 +31,7 @@ CAPACITY = 2048
 #: Lengths are fitted in steps of capacity / BINS for patterns of three and more.
 BINS = 64
 #: Pieces in a cell of one length, on average, at most.
-CELL_ROWS = 20_000
+CELL_ROWS = 1_000
 
 
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:

@@ -42,7 +42,7 @@ GRAM = 40
 #: Windows whose pointers are found at once (places in it fit into 16 bits).
 CHUNK = 60_000
 #: Entries settled together in a task.
-BATCH = 1_000_000
+BATCH = 400_000
 #: A q-gram with so many contexts in one batch is spread at once.
 MANY = 16
 
