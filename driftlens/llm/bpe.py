@@ -27,8 +27,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from driftlens.llm.common import values
+
 #: Entries of a worker's word table; when full, a new one is begun.
-TABLE_WORDS = 200_000
+TABLE_WORDS = 300_000
 #: Texts are taken in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 #: Longer words are encoded by merging, outside the trie (its depth is bounded).
@@ -211,7 +213,8 @@ class Encoder:
     """Whole texts to (ids as little-endian unsigned 32-bit, tokens joined by
     one space: what the library's decode gives for a file without a decoder)."""
 
-    def __init__(self, path: str, by_trie: bool = True):
+    def __init__(self, path: str, by_trie: bool = True, table_words: int = TABLE_WORDS):
+        self.table_words = table_words
         self.vocab = Vocabulary(path, by_trie)
         self.by_trie = by_trie
         self.words: dict[str, bytes] = {}
@@ -237,7 +240,7 @@ class Encoder:
             if spell:
                 self.spelled[u] = self.text_of(ids)
 
-    def encode_batch(self, texts: list[str | None], spell: bool) -> Iterator[tuple[bytes, bytes]]:
+    def encode_batch(self, texts: Iterable[str | None], spell: bool) -> Iterator[tuple[bytes, bytes]]:
         """spell: give the decoded text too. Texts are taken in groups, so that
         the units of one group bound the memory."""
         group, size = [], 0
@@ -256,7 +259,7 @@ class Encoder:
                 cut.append(None)
             else:
                 cut.append(unicodedata.normalize("NFC", text).lower().split())
-        if len(self.words) > TABLE_WORDS:  # only the words that come again are carried over
+        if len(self.words) > self.table_words:  # only the words that come again are carried over
             self.older, self.words = self.words, {}
             self.older_spelled, self.spelled = self.spelled, {}
         new = set().union(*filter(None, cut)) - self.words.keys()
@@ -283,10 +286,10 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, by_trie: bool = True) -> Encoder:
+def encoder(path: str, by_trie: bool = True, table_words: int = TABLE_WORDS) -> Encoder:
     """One a Python worker, so that its word table outlives a task. A caller
     asks for decoded texts always or never."""
-    return Encoder(path, by_trie)
+    return Encoder(path, by_trie, table_words)
 
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -305,7 +308,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
         enc = encoder(path)
         for batch in batches:
             n, ids_sha, dec_sha, ids, dec = [], [], [], [], []
-            for packed, decoded in enc.encode_batch(batch.column(1).to_pylist(), True):
+            for packed, decoded in enc.encode_batch(values(batch, 1), True):
                 n.append(len(packed) // 4)
                 ids_sha.append(hashlib.sha256(packed).hexdigest())
                 dec_sha.append(hashlib.sha256(decoded).hexdigest())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.llm.common import table
+from driftlens.llm.common import table, values
 
 #: Bound of the sample that the model is fitted to, per class.
 MAX_PER_CLASS = 4000
@@ -156,7 +156,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
         for batch in batches:
-            found = [indicators(t) for t in batch.column(2).to_pylist()]
+            found = [indicators(t) for t in values(batch, 2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "y", "x"])
 
     def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +182,7 @@ def score(docs: DataFrame, model: np.ndarray, name: str = "score") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         indicators = Indicators()
         for batch in batches:
-            m = [model[x].sum() / np.sqrt(max(1, len(x))) + model[DIM] for x in map(indicators, batch.column(at).to_pylist())]
+            m = [model[x].sum() / np.sqrt(max(1, len(x))) + model[DIM] for x in map(indicators, values(batch, at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sigmoid(slope * np.array(m) + offset))], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(run, schema)

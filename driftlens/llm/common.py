@@ -35,6 +35,13 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def values(batch, at: int, rows: int = 256):
+    """The values of an Arrow column as Python objects, a few rows at a time."""
+    column = batch.column(at)
+    for start in range(0, len(column), rows):
+        yield from column.slice(start, rows).to_pylist()
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), use)[0]

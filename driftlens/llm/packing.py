@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlens.llm.bpe import encoder
-from driftlens.llm.common import checkpoint
+from driftlens.llm.common import checkpoint, values
 
 CAPACITY = 2048
+#: Entries of a worker's word table.
+TABLE_WORDS = 120_000
 #: Lengths are fitted in steps of capacity / BINS for patterns of three and more.
 BINS = 64
 #: Pieces in a cell of one length, on average, at most.
@@ -39,11 +41,11 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     text is empty and gives one piece of length 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, False)
+        enc = encoder(path, False, TABLE_WORDS)
         for batch in batches:
             ids, piece, start, length, crc = [], [], [], [], []
             keys = batch.column(0).to_pylist()
-            for key, (packed, _) in zip(keys, enc.encode_batch(batch.column(1).to_pylist(), False)):
+            for key, (packed, _) in zip(keys, enc.encode_batch(values(batch, 1), False)):
                 packed += b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(packed), 4 * capacity)):
                     part = packed[at : at + 4 * capacity]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.llm.common import table, written
+from driftlens.llm.common import table, values, written
 
 LENGTH = 100
 GRAM = 40
@@ -278,39 +278,55 @@ def find(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     return marks.groupBy(F.col("k").alias("__llm_k")).agg(F.collect_list(F.struct("start", "n")).alias("__llm_spans"))
 
 
-def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """All columns of ``docs`` and n_bytes, n_removed, n_spans, kept (binary:
-    the bytes left). Further columns may bear any names but these and __llm_*.
+EXTRA = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary")]
 
-    Null text is empty: nothing to remove. Texts shorter than ``length`` bytes
-    stay whole. Rows alike in id and text are one document: neither is an
-    earlier copy of the other, and both get the same result. Rows that share
-    an id but not the text are ordered by a hash of it; null ids come first.
-    """
+
+def _removed(docs: DataFrame, length: int, gram: int, in_place: bool) -> DataFrame:
+    """Columns of ``docs`` and either EXTRA (as __llm_*), or text cut in place."""
     texts = keyed(docs)
     t_at, at = texts.columns.index("text"), len(texts.columns)
-    extra = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept", "binary")]
     # the same columns as in find(), so that both joins can read one shuffle of the texts
     both = texts.join(find(texts, length, gram), "__llm_k", "left").select(*texts.columns, "__llm_spans")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema) + "".join(f", __llm_{n} {t}" for n, t in extra)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, gone, spans, kept = [], [], [], []
-            for data, found in zip(_texts(batch, t_at), batch.column(at).to_pylist()):
+            for i, (data, found) in enumerate(zip(_texts(batch, t_at), values(batch, at))):
                 start = np.array([e["start"] for e in found or ()], dtype=np.int64)
                 end = start + np.array([e["n"] for e in found or ()], dtype=np.int64)
                 _, start, end = merged(np.zeros(len(start), np.int64), start, end)
-                size.append(len(data))
-                gone.append(int((end - start).sum()))
-                spans.append(len(start))
                 edges = zip(np.concatenate(([0], end)), np.append(start, len(data)))
-                kept.append(b"".join([data[a:b].tobytes() for a, b in edges]))
-            columns = [*batch.columns[:at], pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:at], *[f"__llm_{n}" for n, _ in extra]])
+                left = b"".join([data[a:b].tobytes() for a, b in edges])
+                if in_place:
+                    kept.append(left.decode("utf-8", "ignore") if batch.column(t_at)[i].is_valid else None)
+                else:
+                    size.append(len(data))
+                    gone.append(int((end - start).sum()))
+                    spans.append(len(start))
+                    kept.append(left)
+            columns, names = list(batch.columns[:at]), list(batch.schema.names[:at])
+            if in_place:
+                columns[t_at] = pa.array(kept, pa.string())
+            else:
+                columns += [pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())]
+                names += [f"__llm_{n}" for n, _ in EXTRA]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return both.mapInArrow(run, schema if in_place else schema + "".join(f", __llm_{n} {t}" for n, t in EXTRA))
+
+
+def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """All columns of ``docs`` and n_bytes, n_removed, n_spans, kept (binary:
+    the bytes left). Further columns may bear any names but these and __llm_*.
 
-    done = both.mapInArrow(run, schema)
-    return done.select(*docs.columns, *[F.col(f"__llm_{n}").alias(n) for n, _ in extra])
+    Null text is empty: nothing to remove. Texts shorter than ``length`` bytes
+    stay whole. Rows alike in id and text are one document: neither is an
+    earlier copy of the other, and both get the same result. Rows that share
+    an id but not the text are ordered by a hash of it; null ids come first.
+    """
+    done = _removed(docs, length, gram, False)
+    return done.select(*docs.columns, *[F.col(f"__llm_{n}").alias(n) for n, _ in EXTRA])
 
 
 def summary(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -319,23 +335,10 @@ def summary(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def cut_text(docs: DataFrame) -> DataFrame:
+def cut_text(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeats cut from ``text`` (bytes of a character that
-    a cut divides go too) and ``n_chars``, if there, set anew."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if k is None else k.decode("utf-8", "ignore") for k in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
-
-    at = docs.columns.index("text")
-    kept = F.when(F.col("text").isNotNull(), F.col("__llm_kept"))
-    plain = docs.toDF(*[f"c{i}" if c in ("n_bytes", "n_removed", "n_spans", "kept") else c for i, c in enumerate(docs.columns)])
-    done = remove(plain).withColumnRenamed("kept", "__llm_kept").select(*plain.columns, kept.alias("__llm_kept"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    out = done.mapInArrow(run, schema).toDF(*docs.columns)
+    a cut divides go too; null stays null) and ``n_chars``, if there, set anew."""
+    out = _removed(docs, length, gram, True).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
