@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from driftlens.llm.common import values
 
 #: Entries of a worker's word table; when full, a new one is begun.
-TABLE_WORDS = 300_000
+TABLE_WORDS = 500_000
 #: Texts are taken in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 #: Longer words are encoded by merging, outside the trie (its depth is bounded).
