@@ -50,9 +50,6 @@ VALUE_RULES = ("datatype", "length", "is_null", "ordinal")
 NEW_COLUMN = "new_column"
 TABLE_MISS = "table_miss"
 
-# More rule rows than this is not a rule catalogue.
-MAX_RULES = 10_000
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -64,14 +61,9 @@ class Rule:
 
 def rule_specs(rules: DataFrame) -> list[Rule]:
     """Collect the (tiny) distinct rule catalogue to the driver and classify it."""
-    # one job (a bare limit-collect scans partitions in several rounds)
-    rows = rules.select("anamoly", "compare_columns", "anamoly_type").limit(MAX_RULES + 1).coalesce(1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"rule catalogue has more than {MAX_RULES} rows")
-    # SELECT DISTINCT, done here: the catalogue is a handful of rows
-    unique = {(r["anamoly"], tuple(r["compare_columns"] or ()), r["anamoly_type"]): r for r in rows}
+    rows = rules.select("anamoly", "compare_columns", "anamoly_type").distinct().collect()
     specs = []
-    for r in sorted(unique.values(), key=lambda r: (r["anamoly_type"], r["anamoly"])):
+    for r in sorted(rows, key=lambda r: (r["anamoly_type"] is None, r["anamoly_type"] or 0, r["anamoly"] or "")):
         name, cols, rid = r["anamoly"], list(r["compare_columns"] or []), r["anamoly_type"]
         if name in VALUE_RULES:
             if not cols or cols[-1] not in ATTRIBUTES:

@@ -23,11 +23,16 @@ REPORTS: dict[str, tuple[str, str, str | None, bool]] = {
 }
 
 
-def _anomaly_id(specs: list[Rule], rule_name: str) -> int:
-    ids = [s.anamoly_id for s in specs if s.name == rule_name]
-    if not ids:
-        raise KeyError(f"rule {rule_name!r} is not in the rule catalogue")
-    return ids[0]
+# Fixed value: the report of dropped columns takes every rule that the
+# dispatch classes as one, whatever the catalogue calls it.
+MISSING_COLUMN = "missing_column"
+
+
+def _anomaly_ids(specs: list[Rule], rule_name: str) -> list[int]:
+    """Ids of all rules a report shows; without any the report is empty."""
+    if rule_name == MISSING_COLUMN:
+        return [s.anamoly_id for s in specs if s.kind == "missing"]
+    return [s.anamoly_id for s in specs if s.name == rule_name]
 
 
 def _day_bounds(day) -> tuple:
@@ -60,9 +65,9 @@ def report(
         raise KeyError(f"unknown report {kind!r}; expected one of {sorted(REPORTS)}")
     _, rule_name, value_col, with_attr = REPORTS[kind]
     specs = rules if isinstance(rules, list) else rule_specs(rules)
-    rid = _anomaly_id(specs, rule_name)
+    ids = _anomaly_ids(specs, rule_name)
     lo, hi = _day_bounds(day)
-    a = anomalies.where((F.col("anamoly_id") == rid) & (F.col("updated_at") >= lo) & (F.col("updated_at") < hi))
+    a = anomalies.where(F.col("anamoly_id").isin(ids) & (F.col("updated_at") >= lo) & (F.col("updated_at") < hi))
     r = registry.select("config_id", F.col("table_name").alias("Data_Source"))
     j = a.join(r, "config_id", "inner")
     cols = [F.col("Data_Source")]
@@ -75,7 +80,7 @@ def report(
     rows = j.select(*cols)
     names = rows.columns
     counted = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")).orderBy(*order)
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
     return counted.select(*names, copies.alias("_copy")).drop("_copy")
 
 

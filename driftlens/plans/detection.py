@@ -63,13 +63,14 @@ def plan_detection(
     return DetectionRun(entries, current, old, to_anomaly_rows(detected, run_ts))
 
 
-def run_detection(spark: SparkSession, out_path: str, **kwargs) -> DetectionRun:
-    """Plan and write: the run date's partition of the anomaly table is
-    replaced, so a rerun of the same day does not duplicate rows."""
-    from driftlens.sinks import write_anomalies
+def run_detection(spark: SparkSession, out_path: str, run_key: str | None = None, **kwargs) -> DetectionRun:
+    """Plan and write. The partition of the run's date and key is replaced, so
+    a rerun does not duplicate or leave rows; give runs over different entries
+    different keys. The default key is the check type."""
+    from driftlens.sinks import write_run
 
     run = plan_detection(**kwargs)
-    write_anomalies(run.anomalies, out_path)
+    write_run(run.anomalies, out_path, kwargs["run_ts"].date(), run_key or kwargs.get("check_type", "schema"))
     return run
 
 
@@ -79,11 +80,16 @@ def daily_reports(
     """The seven reports of one day over the written anomaly table; the day
     range prunes the run-date partitions."""
     from pyspark.sql import functions as F
+    from pyspark.sql import types as T
 
     import datetime as dt
 
+    from driftlens.types import ANOMALY
+
     d = dt.date.fromisoformat(day) if isinstance(day, str) else day
-    a = spark.read.parquet(anomalies_path).where(
+    # the schema is given: a table of runs that found nothing has no rows to infer it from
+    layout = T.StructType([*ANOMALY.fields, T.StructField("run_date", T.DateType()), T.StructField("run_key", T.StringType())])
+    a = spark.read.schema(layout).parquet(anomalies_path).where(
         (F.col("run_date") >= F.lit(d)) & (F.col("run_date") <= F.lit(d))
     )
     return all_reports(a, registry, rules, d, link)

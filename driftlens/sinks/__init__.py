@@ -5,6 +5,8 @@ Parquet sinks are the default; JDBC is in :mod:`driftlens.sources.jdbc`.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,15 @@ def write_anomalies(anomalies: DataFrame, path: str) -> None:
     )
 
 
+def write_run(anomalies: DataFrame, path: str, run_date, run_key: str) -> None:
+    """One run's anomalies as the partition (run_date, run_key) of the table.
+
+    Exactly that partition is replaced, also by a run that finds nothing, and
+    runs with another key on the same day are left alone."""
+    scope = f"{path}/run_date={run_date.isoformat()}/run_key={quote(run_key, safe='')}"
+    anomalies.write.mode("overwrite").parquet(scope)
+
+
 def append_baseline(rows: DataFrame, path: str) -> None:
     """schema_configuration: append captured rows."""
     rows.write.mode("append").parquet(path)

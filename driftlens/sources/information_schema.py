@@ -27,8 +27,6 @@ from driftlens.types import LIVE_COLUMNS
 COLUMNS = [f.name for f in LIVE_COLUMNS.fields]
 # Schemas per JDBC partition of one catalog read.
 SCHEMAS_PER_PARTITION = 16
-# More distinct (connector, catalog, schema) triples than this is not a registry.
-MAX_SCHEMAS = 1_000_000
 # Registered tables per JDBC partition inside one large schema.
 TABLES_PER_PARTITION = 2_000
 
@@ -101,11 +99,8 @@ def registered_schemas(entries: DataFrame, tables_per_partition: int = TABLES_PE
     rows = (
         counts.select(*keys, F.lit(None).cast("string").alias("tbl_name"))
         .unionByName(split_points)
-        .limit(MAX_SCHEMAS + 1)
         .collect()
     )
-    if len(rows) > MAX_SCHEMAS:
-        raise ValueError("too many registered schemas for one metadata read")
     out: dict[tuple[str, str], dict[str, list[str]]] = defaultdict(dict)
     for r in rows:
         bounds = out[(r["source"], r["catalog_name"])].setdefault(r["schema_name"], [])
@@ -131,16 +126,20 @@ def read_live_columns(
     lakehouse_tables: Mapping[str, DataFrame] | None = None,
     qualified: bool = True,
     tables_per_partition: int = TABLES_PER_PARTITION,
+    case: str | None = None,
 ) -> DataFrame:
     """information_schema.columns of every registered (connector, catalog),
-    tagged with ``source``; lakehouse connectors read Spark table schemas."""
+    tagged with ``source``; lakehouse connectors read Spark table schemas.
+
+    Names are folded by each connector's ``identifier_case``, as detection
+    matches them; capture matches exactly and must read with ``case="exact"``."""
     from driftlens.sources.lakehouse import snapshot_from_tables
 
     parts = []
-    for (source, catalog), schemas in sorted(registered_schemas(entries, tables_per_partition).items()):
+    for (source, catalog), schemas in sorted(registered_schemas(entries, tables_per_partition).items(), key=lambda kv: [(x is None, x or "") for x in kv[0]]):
         conn = lookup(connectors, source)
         if conn.is_jdbc:
-            preds = catalog_predicates(schemas, conn.identifier_case)
+            preds = catalog_predicates(schemas, case or conn.identifier_case)
             df = read_partitioned(spark, conn, catalog_relation(catalog, qualified), preds)
         else:
             df = snapshot_from_tables(spark, lakehouse_tables or {}, catalog=catalog)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,6 +46,9 @@ def start_capture_stream(
     names = [f.name for f in BASELINE.fields]
 
     def capture_batch(batch: DataFrame, epoch_id: int) -> None:
+        # a batch may hold several versions of an entry: the latest is captured
+        latest = Window.partitionBy("config_id").orderBy(F.col("updated_at").desc_nulls_last(), F.col("table_name"))
+        batch = batch.where(F.col("check_type") == check_type).withColumn("_n", F.row_number().over(latest)).where("_n = 1").drop("_n")
         entries = parse_registry(batch, check_type, lower_all=False)
         try:
             captured_ids = spark.read.schema(BASELINE).parquet(baseline_path).select("config_id")

@@ -176,3 +176,30 @@ def test_detection_job_end_to_end(spark, scratch):
     total = sum(r.count() for r in reports.values())
     # every anomaly of the day appears in exactly one report, once per registry row of its entry
     assert total == spark.read.parquet(out).join(reg.select("config_id"), "config_id").count()
+
+
+def test_clean_rerun_and_other_runs_of_a_day(spark, scratch):
+    reg, base = fx.registry(spark, SF_SMALL), fx.baseline(spark, SF_SMALL)
+    out = f"{scratch}/schema_anamoly"
+    kwargs = dict(registry=reg, live_columns=fx.live_columns(spark, SF_SMALL), rules=fx.rules(spark), run_ts=dt.datetime(2023, 4, 19, 7, 0), case="upper")
+    # a first run that finds nothing still gives seven reports
+    run_detection(spark, out, baseline_view=base.where("false"), **{**kwargs, "live_columns": kwargs["live_columns"].where("false")})
+    assert [r.count() for r in daily_reports(spark, out, reg, fx.rules(spark), "2023-04-19", "l").values()] == [0] * 7
+    run_detection(spark, out, baseline_view=base, **kwargs)
+    found = spark.read.parquet(out).count()
+    # another run of the day adds to it, and one that finds nothing clears its own rows only
+    run_detection(spark, out, run_key="second", baseline_view=base, **kwargs)
+    assert spark.read.parquet(out).count() == 2 * found > 0
+    run_detection(spark, out, baseline_view=base.where("false"), **{**kwargs, "live_columns": kwargs["live_columns"].where("false")})
+    assert spark.read.parquet(out).count() == found
+
+
+def test_two_versions_of_an_entry_in_one_stream_batch(spark, scratch):
+    reg = fx.registry(spark, SF_SMALL).where("config_id < 100 and check_type = 'schema'")
+    live, reg_dir, base_path = fx.live_columns(spark, SF_SMALL), f"{scratch}/registry", f"{scratch}/baseline"
+    later = reg.withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 day"))
+    registry_file_batch(reg.unionByName(later)).write.parquet(reg_dir)
+    case = {"catalog": "exact", "schema": "fold", "table": "exact"}
+    start_capture_stream(spark, reg_dir, live, base_path, f"{scratch}/ckpt", case=case).awaitTermination(300)
+    batch = incremental_capture(reg, live, spark.createDataFrame([], BASELINE), fx.state(spark).where("false"), case=case).captured
+    assert bag(spark.read.parquet(base_path)) == bag(batch)

@@ -55,3 +55,16 @@ def test_value_report_order_and_duplicates(spark):
         ("src:c.s.t2", "a", "text", "int", "L"),
         ("src:c.s.t2", "b", "text", "int", "L"),
     ]
+
+
+def test_dropped_columns_under_any_rule_name_and_all_ids_of_a_name(spark):
+    from driftlens.operators.detect import rule_specs
+
+    rules = spark.createDataFrame([("column_gone", None, 90), ("datatype", ["data_type"], 1), ("datatype", ["data_type"], 91), ("odd", None, None)], RULES)
+    assert len(rule_specs(rules)) == 4
+    many = spark.range(12_000).selectExpr("'column_gone' anamoly", "cast(null as array<string>) compare_columns", "cast(id as int) anamoly_type")
+    assert len(rule_specs(many)) == 12_000
+    a = spark.createDataFrame([_anomaly(1, "c", 90), _anomaly(1, "d", 1), _anomaly(1, "e", 91)], ANOMALY)
+    reg = _registry(spark, [1])
+    got = {k: sorted(r["Attributes"] for r in report(a, reg, rules, k, DAY, "l").collect()) for k in ("missing_attributes", "datatype_changes", "length_changes")}
+    assert got == {"missing_attributes": ["c"], "datatype_changes": ["d", "e"], "length_changes": []}
