@@ -11,8 +11,9 @@ one *key*:
 * ``L``: for a pattern without ``%``, the exact length alone,
 * ``A``: nothing at all (a pattern such as ``%``), which every name has.
 
-Prefix and suffix keys use at most ``ANCHOR`` characters and also carry the
-exact length when the pattern has no ``%`` (``-1`` otherwise). A key is one
+Prefix and suffix keys hold the whole literal, however long, and also carry the
+exact length when the pattern has no ``%`` (``-1`` otherwise); names get them
+only at the literal lengths that occur among the patterns. A key is one
 ``xxhash64`` of (kind, length, text), so a collision only adds a candidate:
 every candidate pair is still checked with ``LIKE``.
 
@@ -26,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 3
-ANCHOR = 8
 ANY_LEN = -1
 
 
@@ -66,11 +66,9 @@ def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern", grams: bool
     """
     p = F.col(pattern_col)
     a = pattern_anchors(p)
-    pre = _substr(a["prefix"], F.lit(1), ANCHOR)
-    suf = F.substring(a["suffix"], -ANCHOR, ANCHOR)
     anchored = F.array(
-        F.when(a["prefix"] != "", _key("P", a["klen"], pre)),
-        F.when(a["suffix"] != "", _key("S", a["klen"], suf)),
+        F.when(a["prefix"] != "", _key("P", a["klen"], a["prefix"])),
+        F.when(a["suffix"] != "", _key("S", a["klen"], a["suffix"])),
     )
     fallback = F.when(a["klen"] >= 0, _key("L", a["klen"], F.lit(""))).otherwise(_key("A", ANY_LEN, F.lit("")))
     base = patterns.select(
@@ -93,22 +91,36 @@ def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern", grams: bool
     return base.unionByName(g)
 
 
-def name_keys(names: DataFrame, name_col: str = "_name", grams: bool = True) -> DataFrame:
+def literal_lengths(patterns: DataFrame, pattern_col: str = "_pattern") -> list[int]:
+    """The distinct lengths of the patterns' literal prefixes and suffixes: at
+    most as many as a name has characters, whatever the number of patterns."""
+    a = pattern_anchors(F.col(pattern_col))
+    each = F.explode(F.array(F.char_length(a["prefix"]), F.char_length(a["suffix"])))
+    return sorted(r["n"] for r in patterns.select(each.alias("n")).where("n > 0").distinct().collect())
+
+
+def escapes_normal(pattern: Column) -> Column:
+    """A backslash before a character that needs none is dropped: such a
+    pattern means the character itself, but Spark's LIKE refuses it."""
+    return F.regexp_replace(pattern, r"(\\[_%\\])|\\(.)", "$1$2")
+
+
+def name_keys(names: DataFrame, lengths: list[int], name_col: str = "_name", grams: bool = True) -> DataFrame:
     """(name, key) rows: every key a name can satisfy.
 
-    Per name: prefixes and suffixes up to ``ANCHOR`` characters (with and
-    without the exact length), the length key, the catch-all key, and, when
-    ``grams``, every 3-character run.
+    Per name: prefixes and suffixes of the given lengths (with and without the
+    exact length), the length key, the catch-all key, and, when ``grams``,
+    every 3-character run.
     """
     n = F.char_length(F.col(name_col))
-    upto = F.greatest(n if grams else F.least(n, F.lit(ANCHOR)), F.lit(1))
-    pos = names.select(
-        F.col(name_col).alias("_name"), n.alias("_len"), F.explode(F.sequence(F.lit(1), upto)).alias("_i")
-    )
+    some = F.array(*[F.lit(x) for x in sorted({1, *lengths})])
+    places = F.sequence(F.lit(1), F.greatest(n, F.lit(1))) if grams else some
+    pos = names.select(F.col(name_col).alias("_name"), n.alias("_len"), F.explode(places).alias("_i"))
+    pos = pos.where(F.col("_i") <= F.greatest(F.col("_len"), F.lit(1)))
     name, ln, i = F.col("_name"), F.col("_len"), F.col("_i")
     pre = _substr(name, F.lit(1), i)
     suf = _substr(name, ln - i + 1, i)
-    anchor = (i <= ln) & (i <= ANCHOR)
+    anchor = (i <= ln) & i.isin(lengths)
     keys = [
         F.when(anchor, _key("P", ln, pre)),
         F.when(anchor, _key("P", ANY_LEN, pre)),

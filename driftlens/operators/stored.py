@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.functions.like import name_keys, needs_grams, pattern_keys
+from driftlens.functions.like import escapes_normal, literal_lengths, name_keys, needs_grams, pattern_keys
 from driftlens.operators.common import BROADCAST_ROWS, at_most
 
 def _stored_columns(b: DataFrame, config_id) -> list:
@@ -57,7 +57,7 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
         wanted = F.broadcast(wanted)
 
     names = right.select(F.col(name_col).alias("_name")).distinct()
-    nk = name_keys(names, grams=grams).join(wanted, "_k", "left_semi")
+    nk = name_keys(names, literal_lengths(left, pattern_col), grams=grams).join(wanted, "_k", "left_semi")
     freq = nk.groupBy("_k").agg(F.count(F.lit(1)).alias("_freq"))
 
     best = (
@@ -65,10 +65,11 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
         .groupBy("_pattern")
         .agg(F.min_by("_k", F.coalesce(F.col("_freq"), F.lit(0))).alias("_k"))
         .repartition(width, "_pattern")
+        .withColumn("_like", escapes_normal(F.col("_pattern")))
     )
     pairs = (
         best.join(nk, "_k", "inner")
-        .where(F.expr("_name LIKE _pattern"))
+        .where(F.expr("_name LIKE _like"))
         .select("_pattern", "_name")
         .distinct()
     )

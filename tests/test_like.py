@@ -48,3 +48,25 @@ def test_stored_like_and_eq(spark):
     assert like == [(5, "pg:db.s.t_1"), (5, "pg:db.s.tx1")]  # B3: '_' is a wildcard
     eq = sorted((r["config_id"], r["table_name"], r["character_maximum_length"]) for r in stored(b, e).collect())
     assert eq == [(5, "pg:db.s.t_1", 0), (6, "pg:db.s.tx1", 0)]
+
+
+def test_candidates_follow_matches_when_names_share_long_prefixes(spark):
+    """Wildcard entries of one connector: candidates are the matches, not
+    names x patterns."""
+    from driftlens.functions.like import literal_lengths, name_keys, pattern_keys
+
+    for schemas in (20, 40):
+        names = spark.range(schemas * 50).selectExpr(f"concat('snowflake:cat.s', id % {schemas}, '.t', id) as _name")
+        pats = spark.range(schemas).selectExpr("concat('snowflake:cat.s', id, '.%') as _pattern")
+        keys = name_keys(names, literal_lengths(pats), grams=False)
+        candidates = pattern_keys(pats, grams=False).join(keys, "_k").count()
+        assert candidates == schemas * 50
+
+
+def test_escape_of_a_plain_character(spark):
+    from driftlens.operators.stored import like_join
+
+    left = spark.createDataFrame([("a\\bcd",), ("a\\_c",), ("x%",), ("a\\\\b",)], "p string")
+    right = spark.createDataFrame([("abcd",), ("a_c",), ("abc",), ("xyz",), ("a\\b",)], "n string")
+    got = {(r["p"], r["n"]) for r in like_join(left, "p", right, "n").collect()}
+    assert got == {("a\\bcd", "abcd"), ("a\\_c", "a_c"), ("x%", "xyz"), ("a\\\\b", "a\\b")}
