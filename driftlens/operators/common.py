@@ -37,15 +37,14 @@ def not_in(df: DataFrame, col: str, sub: DataFrame) -> DataFrame:
     * a NULL in the subquery: no row is kept;
     * otherwise rows with a non-NULL key and no match.
 
-    The two NULL cases are uncorrelated EXISTS subqueries evaluated once; the
-    match is an ordinary anti equi-join on the de-duplicated keys, so it
+    The NULL cases come from two counts over the key set, which the optimizer
+    merges into one aggregate; the match is an ordinary anti equi-join on the de-duplicated keys, so it
     shuffles (or broadcasts, if AQE finds it small) instead of falling back to
     a nested loop when the key set is too large to broadcast.
     """
     keys = sub.toDF("_not_in_key")
-    nonempty = keys.exists()
-    has_null = keys.where(F.col("_not_in_key").isNull()).exists()
-    keep = ~nonempty | (F.col(col).isNotNull() & ~has_null)
+    total, known = keys.agg(F.count(F.lit(1))).scalar(), keys.agg(F.count("_not_in_key")).scalar()
+    keep = (total == 0) | (F.col(col).isNotNull() & (total == known))
     distinct_keys = keys.where(F.col("_not_in_key").isNotNull()).distinct()
     return (
         df.where(keep)

@@ -11,19 +11,13 @@ application:
   baseline column,
 * any other name: baseline columns absent from the live side.
 
-Plan: baseline LEFT JOIN live on (config_id, table_name, column_name); every
-baseline-side rule is a conditional struct over the joined row and the
-matches are exploded with ``inline``. New columns come from live LEFT ANTI
-baseline over the same two shuffles (reused). Both inputs are shuffled once,
-on the full key, so no single table's columns have to share a task, and AQE
-may split a skewed partition of either join's streamed side (it cannot for a
-FULL OUTER join). Table presence for ``table_miss`` is looked up only for
-baseline rows that met no live column (a matched row's table is present):
-the live side reduced to its distinct tables (partial aggregation before the
-shuffle) is broadcast when the caller passes a checked bound on its size
-(registry-sized); otherwise the dropped tables are found at table level and
-joined salted, so that a dropped table holding a large share of all rows is
-spread over several tasks.
+Plan, the same at every size: baseline FULL OUTER JOIN live on (config_id,
+table_name, column_name), so each input is shuffled in full once, on the full
+key, and no table's columns have to share a task (only exact duplicates of one
+column could be a hot key). Every rule is a condition on the joined row and the
+rules that fire are exploded. ``table_miss`` fires first for every baseline
+row without a live column; those rows then meet the dropped tables, found at
+table level (:func:`driftlens.operators.diff.join_tables`).
 """
 
 from __future__ import annotations
@@ -35,14 +29,7 @@ from pyspark.sql import functions as F
 
 from driftlens.functions.names import ts_ntz
 from driftlens.functions.predicates import changed
-from driftlens.operators.diff import (
-    BROADCAST_TABLES,
-    missing_columns,
-    missing_tables,
-    new_columns,
-    table_gone,
-    value_change,
-)
+from driftlens.operators.diff import dropped_tables, join_tables, missing_columns, missing_tables, new_columns, value_change
 from driftlens.types import ANOMALY, ATTRIBUTES, DETECTED, KEYS, TABLE_KEYS
 
 # Rule names the dispatch recognises.
@@ -82,67 +69,37 @@ def _empty(spark) -> DataFrame:
     return spark.createDataFrame([], DETECTED)
 
 
-def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule], max_tables: int | None = None) -> DataFrame:
+def detect(old: DataFrame, new: DataFrame, rules: DataFrame | list[Rule]) -> DataFrame:
     """Every rule over every registered table, one distributed pass.
 
-    ``old``/``new`` need the keys and the compared attributes. ``max_tables``
-    is a proven upper bound on distinct live tables (e.g. the checked count of
-    registry entries); when it is small enough the presence set is broadcast,
-    otherwise the gone tables are found at table level and joined salted
-    (:func:`driftlens.operators.diff.table_gone`).
-
-    Plan: baseline LEFT JOIN live on the full key carries every baseline-side
-    rule (value changes, missing columns, missing tables); live LEFT ANTI
-    baseline gives new columns. Both joins read the same two shuffles
-    (exchange reuse), and unlike a FULL OUTER join both let AQE split a
-    skewed partition of their streamed side.
+    ``old``/``new`` need the keys and the compared attributes.
     """
     specs = rules if isinstance(rules, list) else rule_specs(rules)
     if not specs:
         return _empty(old.sparkSession)
     attrs = sorted({s.attr for s in specs if s.kind == "value"})
-    o = old.select(*KEYS, *[F.col(a).alias(f"_o_{a}") for a in attrs])
+    o = old.select(*KEYS, *[F.col(a).alias(f"_o_{a}") for a in attrs], F.lit(True).alias("_in_old"))
     n = new.select(*KEYS, *[F.col(a).alias(f"_n_{a}") for a in attrs], F.lit(True).alias("_in_new"))
+    in_old, in_new = F.col("_in_old").isNotNull(), F.col("_in_new").isNotNull()
 
-    out = []
-    old_side = [s for s in specs if s.kind != "new"]
-    if old_side:
-        j = o.join(n, KEYS, "left")
-        in_new = F.col("_in_new").isNotNull()
-        if any(s.kind == "table" for s in old_side):
-            if max_tables is not None and max_tables <= BROADCAST_TABLES:
-                # broadcast lookup: map-side, so every row may take it
-                j = table_gone(j, new, max_tables)
-            else:
-                # a row that met a live column has its table present; only
-                # the unmatched rows (dropped columns) are shuffled for it
-                matched = j.where(in_new).withColumn("_table_gone", F.lit(None).cast("boolean"))
-                j = matched.unionByName(table_gone(j.where(~in_new), new))
-            gone = F.col("_table_gone").isNotNull()
+    # which rules fire on this joined row: explode only their positions,
+    # then derive the output columns from the position
+    fired = []
+    for i, s in enumerate(specs):
+        if s.kind == "value":
+            cond = in_old & changed(F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}"))
+        elif s.kind == "new":
+            cond = ~in_old
         else:
-            gone = F.lit(False)
-        # which rules fire on this joined row: explode only their positions,
-        # then derive the output columns from the position
-        fired = []
-        for i, s in enumerate(old_side):
-            if s.kind == "value":
-                cond = changed(F.col(f"_o_{s.attr}"), F.col(f"_n_{s.attr}"))
-            elif s.kind == "missing":
-                cond = ~in_new
-            else:
-                cond = ~in_new & gone
-            fired.append(F.when(cond, F.lit(i)))
-        hits = j.select("*", F.explode(F.filter(F.array(*fired), lambda x: x.isNotNull())).alias("_rule"))
-        out.append(hits.select(*_layout(old_side)))
-    new_side = [s for s in specs if s.kind == "new"]
-    if new_side:
-        added = n.select(*KEYS).join(o.select(*KEYS), KEYS, "left_anti")
-        rule_ix = F.explode(F.array(*[F.lit(i) for i in range(len(new_side))])) if len(new_side) > 1 else F.lit(0)
-        out.append(added.select("*", rule_ix.alias("_rule")).select(*_layout(new_side)))
-    result = out[0]
-    for part in out[1:]:
-        result = result.unionByName(part)
-    return result
+            cond = ~in_new
+        fired.append(F.when(cond, F.lit(i)))
+    hits = o.join(n, KEYS, "full").select("*", F.explode(F.filter(F.array(*fired), lambda x: x.isNotNull())).alias("_rule"))
+    found = hits.select("_rule", *_layout(specs))
+    tables = [i for i, s in enumerate(specs) if s.kind == "table"]
+    if tables:
+        gone = dropped_tables(old, new).withColumn("_gone", F.lit(True))
+        found = join_tables(found, gone, "left").where(~F.col("_rule").isin(tables) | F.col("_gone").isNotNull())
+    return found.select(*[f.name for f in DETECTED.fields])
 
 
 def _layout(specs: list[Rule]) -> list[Column]:

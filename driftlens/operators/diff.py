@@ -51,70 +51,40 @@ def missing_columns(old: DataFrame, new: DataFrame) -> DataFrame:
     return old.select(*KEYS).join(new.select(*KEYS), KEYS, "left_anti")
 
 
-# Largest table count whose presence set is broadcast on the caller's word.
-BROADCAST_TABLES = 2_000_000
-# Salts of the table-presence join when no bound on the live table count is
-# known: a table's rows spread over this many tasks by column name.
-PRESENCE_SALTS = 8
-
-
-def table_gone(rows: DataFrame, new: DataFrame, max_tables: int | None = None, salts: int = PRESENCE_SALTS) -> DataFrame:
-    """``rows`` with ``_table_gone``: TRUE when ``new`` has no column at all of
-    the row's (config_id, table_name), NULL otherwise.
-
-    With ``max_tables``, a proven bound on the number of live tables, the
-    live side reduced to its distinct tables is broadcast. Without one, the
-    *gone* tables are found first at table level, where every table is one
-    row however many columns it has (distinct tables of ``rows`` anti
-    distinct tables of ``new``, both partially aggregated before their
-    shuffle); that set is usually small, and ``rows`` meet it in a salted
-    join: each row takes a salt from its column name and the gone set is
-    replicated once per salt, so one dropped table holding a large share of
-    ``rows`` is spread over ``salts`` tasks. Both join inputs are plain
-    shuffles, so AQE can still broadcast a small gone set at run time or
-    split a salted partition that is still skewed.
+def dropped_tables(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(config_id, table_name) of baseline tables with no live column: both
+    sides are reduced to distinct tables (partial aggregation, one row per
+    table however many columns it has) before they meet."""
+    return old.select(*TABLE_KEYS).distinct().join(new.select(*TABLE_KEYS).distinct(), TABLE_KEYS, "left_anti")
+
+
+def join_tables(rows: DataFrame, tables: DataFrame, how: str) -> DataFrame:
+    """``rows`` joined to a table-level set on (config_id, table_name).
+
+    The name's length is a third key, which changes no match. It makes the
+    planner shuffle the aggregated set once more (it is one row per table), so
+    that both join inputs are plain shuffles: AQE can then broadcast a set it
+    measured to be small, or split a table that holds many of the rows.
     """
-    live_tables = new.select(*TABLE_KEYS).distinct()
-    if max_tables is not None and max_tables <= BROADCAST_TABLES:
-        flagged = rows.join(F.broadcast(live_tables.withColumn("_present", F.lit(True))), TABLE_KEYS, "left")
-        return flagged.withColumn("_table_gone", F.when(F.col("_present").isNull(), F.lit(True))).drop("_present")
-    gone = rows.select(*TABLE_KEYS).distinct().join(live_tables, TABLE_KEYS, "left_anti")
-    gone = gone.withColumn("_table_gone", F.lit(True))
-    if salts < 2:
-        return rows.join(gone, TABLE_KEYS, "left")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("column_name"), F.lit(salts)))
-    replicated = gone.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(replicated, [*TABLE_KEYS, "_salt"], "left").drop("_salt")
-
-
-def missing_tables(old: DataFrame, new: DataFrame, distinct: bool = False, max_tables: int | None = None) -> DataFrame:
+    length = F.length("table_name")
+    joined = rows.withColumn("_length", length).join(tables.withColumn("_length", length), [*TABLE_KEYS, "_length"], how)
+    return joined.drop("_length")
+
+
+def missing_tables(old: DataFrame, new: DataFrame, distinct: bool = False) -> DataFrame:
     """Registered tables with no live column at all.
 
     The original rule reports one row per baseline column of a dropped table;
-    ``distinct=True`` gives one row per table, from both sides reduced to
-    distinct tables (partial aggregation, one row per table however many
-    columns it has). Per column, the baseline rows meet the presence set in a
-    broadcast or salted join (:func:`table_gone`).
+    ``distinct=True`` gives one row per table.
     """
-    if distinct:
-        present = new.select(*TABLE_KEYS).distinct()
-        return old.select(*TABLE_KEYS).distinct().join(present, TABLE_KEYS, "left_anti")
-    flagged = table_gone(old.select(*KEYS), new, max_tables)
-    return flagged.where(F.col("_table_gone")).select(*TABLE_KEYS)
+    gone = dropped_tables(old, new)
+    return gone if distinct else join_tables(old.select(*TABLE_KEYS), gone, "left_semi")
 
 
 def diff_status(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The full-outer-join indicator kept as data: ``both``, ``left_only`` or
-    ``right_only`` per key, with a full outer join's multiplicity.
-
-    Built as baseline LEFT JOIN live (``both`` / ``left_only``) plus live LEFT
-    ANTI baseline (``right_only``) over the same two shuffles, so AQE can split
-    a skewed partition, which it cannot do for a FULL OUTER join.
-    """
-    o = old.select(*KEYS)
+    """The full outer join's indicator kept as data: ``both``, ``left_only``
+    or ``right_only`` per key. Each input is shuffled once."""
+    o = old.select(*KEYS, F.lit(True).alias("_in_old"))
     n = new.select(*KEYS, F.lit(True).alias("_in_new"))
-    left = o.join(n, KEYS, "left").select(
-        *KEYS, F.when(F.col("_in_new").isNull(), "left_only").otherwise("both").alias("status")
-    )
-    right = new.select(*KEYS).join(o, KEYS, "left_anti").select(*KEYS, F.lit("right_only").alias("status"))
-    return left.unionByName(right)
+    status = F.when(F.col("_in_old").isNull(), "right_only").when(F.col("_in_new").isNull(), "left_only").otherwise("both")
+    return o.join(n, KEYS, "full").select(*KEYS, status.alias("status"))

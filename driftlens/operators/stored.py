@@ -78,6 +78,14 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
     return out.drop("_pattern", "_name")
 
 
+def baseline_view(baseline: DataFrame, registry: DataFrame, check_type: str = "schema") -> DataFrame:
+    """Captured rows with the ``table_name`` their entry is registered under:
+    what capture writes, as detection reads it. Rows whose entry is gone from
+    the registry belong to no table and are left out."""
+    names = registry.where(F.col("check_type") == check_type).select("config_id", "table_name")
+    return baseline.drop("table_name").join(names, "config_id")
+
+
 def stored(baseline_view: DataFrame, entries: DataFrame, match: str = "eq", pattern_col: str = "table_name") -> DataFrame:
     """Baseline rows of every entry, tagged with the entry's ``config_id``.
 

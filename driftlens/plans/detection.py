@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.operators.common import BROADCAST_ROWS, at_most
 from driftlens.operators.detect import detect, rule_specs, to_anomaly_rows
 from driftlens.operators.registry import parse_registry
 from driftlens.operators.reports import all_reports
 from driftlens.operators.snapshot import UPPER_CASE_CONNECTORS, snapshot
+from driftlens.operators.stored import baseline_view as named
 from driftlens.operators.stored import stored
+from driftlens.sources.connectors import Connector, case_rules
 
 
 @dataclass
@@ -40,26 +41,33 @@ def plan_detection(
     match: str = "eq",
     check_type: str = "schema",
     freeze_live: bool = True,
+    connectors: Mapping[str, Connector] | None = None,
 ) -> DetectionRun:
     """Build the detection plan.
 
-    Identifier case defaults to the original rule: ``snowflake_uat`` folds to
-    upper case, every other connector to ``case`` (lower).
+    ``baseline_view`` is the captured baseline, with ``table_name`` or as
+    :func:`driftlens.plans.capture.run_capture` writes it.
+
+    With ``connectors``, names are matched by each connector's
+    ``identifier_case``, the setting its metadata was read with. Without, the
+    original rule holds: ``snowflake_uat`` folds to upper case, every other
+    connector to ``case`` (lower).
 
     ``freeze_live`` checkpoints the live snapshot (reliable checkpoint in
     ``spark.checkpoint.dir``): live metadata is read exactly once per run, so
     every rule sees the same state even if a source changes meanwhile, and a
     lost executor does not re-query the sources.
     """
+    if connectors is not None:
+        source_case = case_rules(connectors)
     entries = parse_registry(registry, check_type, lower_all=True)
     current = snapshot(live_columns, entries, case=case, source_case=source_case)
     if freeze_live:
         current = current.checkpoint(eager=True)
+    if "table_name" not in baseline_view.columns:  # as run_capture writes it
+        baseline_view = named(baseline_view, registry, check_type)
     old = stored(baseline_view, entries, match=match)
-    # the live side has at most one table per entry: a checked bound lets the
-    # table-presence set be broadcast
-    bound = BROADCAST_ROWS if at_most(entries, BROADCAST_ROWS) else None
-    detected = detect(old, current, rule_specs(rules), max_tables=bound)
+    detected = detect(old, current, rule_specs(rules))
     return DetectionRun(entries, current, old, to_anomaly_rows(detected, run_ts))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from driftlens.operators import (
     advance_hwm,
+    baseline_view,
     capture,
     captured_configs,
     detect,
@@ -30,7 +31,6 @@ from driftlens.operators import (
     value_change,
 )
 from driftlens.operators.common import not_in
-from driftlens.operators.diff import BROADCAST_TABLES
 from driftlens.plans.capture import incremental_capture
 from driftlens.sources import fixtures as fx
 
@@ -136,7 +136,7 @@ def hwm_advance(spark, sf_dir):
 
 def detect_all(spark, sf_dir):
     b, c = _pair(spark, sf_dir)
-    return detect(b, c, fx.rules(spark), max_tables=fx.live_table_bound(spark, sf_dir, BROADCAST_TABLES))
+    return detect(b, c, fx.rules(spark))
 
 
 def anomaly_rows(spark, sf_dir):
@@ -171,6 +171,16 @@ def incremental_capture_q(spark, sf_dir):
     return run.baseline_after
 
 
+def detect_captured(spark, sf_dir):
+    """Detection on what capture wrote: the baseline after one capture run,
+    named by the registry, against the live metadata."""
+    reg = fx.registry(spark, sf_dir)
+    entries = parse_registry(reg)
+    view = baseline_view(incremental_capture_q(spark, sf_dir), reg)
+    current = snapshot(fx.live_columns(spark, sf_dir), entries, case=SNAPSHOT_CASE)
+    return detect(stored(view, entries), current, fx.rules(spark))
+
+
 QUERIES: dict[str, Query] = {
     "value_change_datatype": _value("data_type"),
     "value_change_length": _value("character_maximum_length"),
@@ -203,4 +213,5 @@ QUERIES: dict[str, Query] = {
     "captured_configs": captured_configs_q,
     "capture_baseline": capture_baseline,
     "incremental_capture": incremental_capture_q,
+    "detect_captured": detect_captured,
 }

@@ -229,6 +229,18 @@ UNION ALL
 {_CAPTURE.strip()}""",
 }
 
+# The detected view's text over other relations: the captured rows under their
+# registered names, and the live metadata.
+_OF_CAPTURED = VIEWS["detected"].replace("baseline o", "stored o").replace("cur n", "live n")
+QUERIES_SQL["detect_captured"] = f"""
+SELECT * FROM (WITH after AS ({QUERIES_SQL["incremental_capture"]}),
+named AS (SELECT a.*, r.table_name FROM after a JOIN registry r ON a.config_id = r.config_id WHERE r.check_type = 'schema'),
+stored AS (SELECT r.config_id, lower(v.table_name) AS table_name, v.column_name, v.data_type, v.ordinal_position, v.is_nullable,
+  coalesce(v.character_maximum_length, 0) AS character_maximum_length
+ FROM registry r JOIN named v ON lower(r.table_name) = lower(v.table_name) WHERE r.check_type = 'schema'),
+live AS ({_CURRENT_SNAPSHOT})
+{_OF_CAPTURED})"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_views(v) for k, v in QUERIES_SQL.items()}

@@ -108,17 +108,6 @@ def cur_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def live_table_bound(spark: SparkSession, sf_dir: str, limit: int) -> int | None:
-    """A proven upper bound on the distinct live tables of :func:`cur`, or
-    None when it exceeds ``limit``: each live row comes from one baseline
-    row, and each baseline row from one ``lineitem`` group, so the live
-    tables are at most the ``lineitem`` rows, counted with a distributed
-    count (the production job bounds it by the registry instead)."""
-    from driftlens.operators.common import at_most
-
-    return limit if at_most(table(spark, sf_dir, "lineitem"), limit) else None
-
-
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """master_configuration: one entry per order, plus a second entry for every
     50th table (two entries naming one table)."""

@@ -203,3 +203,21 @@ def test_two_versions_of_an_entry_in_one_stream_batch(spark, scratch):
     start_capture_stream(spark, reg_dir, live, base_path, f"{scratch}/ckpt", case=case).awaitTermination(300)
     batch = incremental_capture(reg, live, spark.createDataFrame([], BASELINE), fx.state(spark).where("false"), case=case).captured
     assert bag(spark.read.parquet(base_path)) == bag(batch)
+
+
+def test_capture_output_feeds_detection_and_reports(spark, scratch):
+    reg, live = fx.registry(spark, SF_SMALL).where("config_id < 200"), fx.live_columns(spark, SF_SMALL)
+    base_path, state_path, out = f"{scratch}/baseline", f"{scratch}/state", f"{scratch}/anomalies"
+    spark.createDataFrame([], BASELINE).write.parquet(base_path)
+    fx.state(spark).where("false").write.parquet(state_path)
+    run_capture(reg, live, spark.read.parquet(base_path), spark.read.parquet(state_path), base_path, state_path, case={"catalog": "exact", "schema": "fold", "table": "exact"})
+    conns = {"redshift_dev": Connector("redshift_dev", "redshift", identifier_case="upper")}
+    drifted = live.where("column_name <> 'C2'").withColumn("data_type", F.when(F.col("column_name") == "C1", "TEXT").otherwise(F.col("data_type")))
+    kwargs = dict(registry=reg, baseline_view=spark.read.parquet(base_path), rules=fx.rules(spark), run_ts=dt.datetime(2023, 4, 19, 7, 0), connectors=conns)
+    run_detection(spark, out, live_columns=drifted, **kwargs)
+    found = {r["anamoly_id"]: r["n"] for r in spark.read.parquet(out).groupBy("anamoly_id").agg(F.count("*").alias("n")).collect()}
+    base = spark.read.parquet(base_path)
+    assert found[0] >= base.where("column_name = 'c2'").count() > 0  # dropped columns
+    assert found[2] > found[0] and 1 not in found
+    reports = daily_reports(spark, out, reg, fx.rules(spark), "2023-04-19", "link")
+    assert reports["missing_attributes"].count() == found[0]

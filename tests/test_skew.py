@@ -96,24 +96,25 @@ def test_hot_table_detect_equals_spec_under_skew_split(spark):
         want = bag(detect_union(old, new, rules))
     assert got_bag == want
     assert sum(n for k, n in got_bag.items() if k[0] == 6 and k[-1] == "src:c.s.hot") == 20_000  # table_miss per column
-    # with no bound on the live table count the presence join is salted: it
-    # shuffles both inputs on (config_id, table_name, _salt), so the dropped
-    # hot table is spread over the salts, and no aggregate sits between an
-    # exchange and the join (AQE may split a still-skewed salted partition)
+    # the dropped hot table is split in the join with the dropped tables: both
+    # of its inputs are plain shuffles, no aggregate stands in between
     assert "isFinalPlan=true" in plan
-    salted = re.findall(r"Exchange hashpartitioning\(config_id#\d+L, table_name#\d+, _salt#\d+L", plan)
-    assert len(salted) >= 2, plan
-    assert "BroadcastHashJoin" not in plan and "FullOuter" not in plan
+    assert re.search(r"SortMergeJoin\(skew=true\) \[config_id#\d+L, table_name#\d+, _length#\d+\]", plan), plan
+    assert "BroadcastHashJoin" not in plan
 
 
-def test_hot_table_with_bound_broadcasts_presence(spark):
+def test_detect_shuffles_each_input_in_full_once(spark, scratch):
     old, new = _hot_snapshots(spark)
+    old.write.parquet(f"{scratch}/old")
+    new.write.parquet(f"{scratch}/new")
+    old, new = spark.read.parquet(f"{scratch}/old"), spark.read.parquet(f"{scratch}/new")
     rules = spark.createDataFrame(RULE_ROWS, RULES)
-    got = detect(old, new, rules, max_tables=1_000)
-    rows = got.collect()
-    plan = _executed_plan(got)
-    assert "_salt" not in plan and "BroadcastHashJoin" in plan
-    assert Counter(tuple(r[c] for c in sorted(got.columns)) for r in rows) == bag(detect_union(old, new, rules))
+    with conf(spark, SKEW_CONF):
+        plan = detect(old, new, rules)._jdf.queryExecution().sparkPlan().toString()
+        shuffled = detect(old, new, rules)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FullOuter") == 1
+    on_columns = re.findall(r"Exchange hashpartitioning\(config_id#\d+L, table_name#\d+, column_name#\d+", shuffled)
+    assert len(on_columns) == 2, shuffled
 
 
 def test_like_join_with_one_key_shared_by_every_name(spark):
