@@ -220,4 +220,4 @@ def test_capture_output_feeds_detection_and_reports(spark, scratch):
     assert found[0] >= base.where("column_name = 'c2'").count() > 0  # dropped columns
     assert found[2] > found[0] and 1 not in found
     reports = daily_reports(spark, out, reg, fx.rules(spark), "2023-04-19", "link")
-    assert reports["missing_attributes"].count() == found[0]
+    assert reports["Missing Attributes"].count() == found[0]
