@@ -11,7 +11,7 @@ same entries, and the ``NOT IN (captured ids)`` guard skips what was written.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -69,11 +69,15 @@ def run_capture(
     case: str | Mapping[str, str] = "exact",
     source_case: Mapping[str, str] | None = None,
 ) -> CaptureRun:
-    """One scheduled capture: freeze the registry, append baseline, then state."""
+    """One scheduled capture: freeze the registry and the run's results, append
+    baseline, then state. ``due``, ``captured`` and ``unmatched`` are reliable
+    checkpoints taken before the first write, so that they stay what this run
+    found whatever the baseline and the sources hold later."""
     from driftlens.sinks import append_baseline, write_state
 
     snap = registry.checkpoint(eager=True)
     run = incremental_capture(snap, columns, baseline, state, check_type, case, source_case)
+    run = replace(run, due=run.due.checkpoint(), captured=run.captured.checkpoint(), unmatched=run.unmatched.checkpoint())
     append_baseline(run.captured, baseline_path)
     write_state(run.state_after, state_path)
     return run
