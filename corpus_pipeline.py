@@ -19,7 +19,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return classifier.keep(docs, table(spark, sf_dir, "labels"))
+    return classifier.keep(docs, table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,9 +7,9 @@ to them by dual coordinate descent, and its margin is turned into a
 probability by a logistic curve fitted to rows set aside for that.
 
 The fit sees a bounded sample: at most ``MAX_PER_CLASS`` labelled rows of each
-class, those with the smallest hash of their id, gathered in one task; the
-class sizes come from all labelled rows. Scoring reads every whole text and
-moves nothing.
+class that are in the corpus, those with the smallest hash of their id, gathered
+in one task; the class sizes come from all labelled rows of the corpus. Scoring
+reads every whole text and moves nothing.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.llm.common import table, values
+from driftlens.llm.common import checkpoint, table, values
 
 #: Bound of the sample that the model is fitted to, per class.
 MAX_PER_CLASS = 4000
@@ -113,8 +113,8 @@ def calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 
 def fit(rows: list[np.ndarray], y: np.ndarray, sizes: tuple[int, int]) -> np.ndarray:
     """Weights per feature, of the constant, then slope and offset; sizes: of
-    the classes 0 and 1 among all labelled rows. Without both classes the
-    score is the smoothed share of class 1."""
+    the classes 0 and 1 among all labelled rows. With fewer than five rows of
+    a class the score is the smoothed share of class 1."""
     out = np.zeros(DIM + 3)
     share = (sizes[1] + 1) / (sum(sizes) + 2)
     if min((y == 0).sum(), (y == 1).sum()) < 5:
@@ -144,10 +144,11 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) -> np.ndarray:
     """The model, from labelled rows that are not held out. Of a document with
-    several labels the largest counts; null labels and ids are passed over; of
-    rows that repeat an id the smallest text is learnt from."""
+    several labels the largest counts; null labels and ids are passed over, and
+    labels of no document; of rows that repeat an id the smallest text is learnt from."""
     known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
+    known = checkpoint(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     picks = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
     sample = docs.select("doc_id", "text").join(F.broadcast(picks[0].union(picks[1])), "doc_id")  # at most 2 * per_class ids
@@ -197,9 +198,10 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` predicted to be of class 1, with all their columns."""
-    return score(docs, train(docs, labels), "__llm_score").where(F.col("__llm_score") >= CUT).select(*docs.columns)
+def keep(docs: DataFrame, labels: DataFrame, corpus: DataFrame) -> DataFrame:
+    """The rows of ``docs`` predicted to be of class 1, with all their columns;
+    learnt from ``corpus``, which also has what earlier stages removed."""
+    return score(docs, train(corpus, labels), "__llm_score").where(F.col("__llm_score") >= CUT).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

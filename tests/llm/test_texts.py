@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -226,6 +227,36 @@ def test_classifier_on_held_out_rows(spark, small, odd_docs, no_docs):
     assert classifier.predict(no_docs, labels).count() == 0
 
 
+def test_classifier_learns_from_labelled_rows_of_the_corpus_only(spark):
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(("alpha", "beta", "gamma") if i % 2 else ("$$$", "###", "zzz")) for _ in range(30)) for i in range(60)]
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5][:60]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    absent = [(i, i % 2) for i in range(5000, 8000)]
+    labels = spark.createDataFrame([(d, i % 2) for i, d in enumerate(ids)] + absent, "doc_id long, quality int")
+    indicators = classifier.Indicators()
+    want = classifier.fit([indicators(t) for t in texts], np.arange(60) % 2.0, (30, 30))
+    assert want[: classifier.DIM].any() and np.allclose(classifier.train(docs, labels, 30), want)
+
+
+def test_pipeline_classifier_learns_what_the_rules_removed(spark, small):
+    import corpus_pipeline as P
+
+    sf = small.replace("sf0.001", "sf0.01")
+    docs, labels = P.table(spark, sf, "documents"), P.table(spark, sf, "labels")
+    text, label = dict(docs.select("doc_id", "text").collect()), dict(labels.select("doc_id", "quality").collect())
+    ids = sorted(d for d in label if d in text and zlib.crc32(str(d).encode()) % 5)
+    indicators = classifier.Indicators()
+    y = np.array([label[d] for d in ids], dtype=float)
+    model = classifier.fit([indicators(text[d]) for d in ids], y, (int((y == 0).sum()), int((y == 1).sum())))
+    assert model[: classifier.DIM].any()
+    stage = docs.join(labels.where("quality = 0"), "doc_id", "left_anti")  # as after a first stage
+    got = sorted(r["doc_id"] for r in P.quality(spark, stage, sf).select("doc_id").collect())
+    given = [r["doc_id"] for r in stage.select("doc_id").collect()]
+    p = classifier.sigmoid(model[-2] * classifier.margins([indicators(text[d]) for d in given], model) + model[-1])
+    assert got == sorted(d for d, q in zip(given, p) if q >= classifier.CUT) and len(got) < len(given)
+
+
 def test_quality_rules_on_odd_rows(odd_docs, no_docs):
     got = rows(quality_rules.judge(odd_docs, ["doc_id"]))
     assert len(got) == odd_docs.count() and quality_rules.judge(no_docs, ["doc_id"]).count() == 0
