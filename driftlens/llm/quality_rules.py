@@ -3,10 +3,12 @@
 Every text gets whole-number features. Their distribution per (language,
 source) is kept as a quantile sketch: counts per value of a per-mille scale,
 at most 1,001 of them, which merge by adding, so the sketch of a language is
-the sum of its sources' and any order of merging gives the same numbers. Each
-group's threshold is its upper quartile plus ``spread`` times its quartile
-range plus a tolerance; groups with few documents take their language's, or
-the corpus's. Documents then meet their group's thresholds in a join.
+the sum of its sources' and any order of merging gives the same numbers. A
+sketch's fence is its upper quartile plus ``spread`` times its quartile range.
+Each group's threshold is the smallest fence of its own sketch, its language's
+and the corpus's, plus a tolerance, so that a source full of junk does not raise
+its own threshold; sketches of few documents have no say, except the corpus's.
+Documents then meet their group's thresholds in a join.
 
 All of it is column expressions; sketches are pre-aggregated before they are
 shuffled, and the join is salted, as one source may hold most documents.
@@ -27,7 +29,7 @@ MAX_REPEAT_PERCENT = 30
 #: feature -> what a value may exceed its group's fence by, in per mille.
 TOLERANCE = {"symbols": 50, "dup_lines": 350, "repeats": 300}
 SPREAD = 3
-#: Smaller groups take the thresholds of their language, then of the corpus.
+#: Sketches of fewer documents give no fence (the corpus's always does).
 MIN_GROUP = 100
 SALTS = 32
 
@@ -115,7 +117,7 @@ def thresholds(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     of_lang = fences(merge(merged, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("feature").alias("l_feature"), F.col("total").alias("l_n"), F.col("fence").alias("l_fence"))
     of_all = fences(merge(merged)).select(F.col("feature").alias("a_feature"), F.col("fence").alias("a_fence"))
     joined = own.join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("feature") == F.col("l_feature"))).join(F.broadcast(of_all), F.col("feature") == F.col("a_feature"))
-    fence = F.when(F.col("n") >= min_group, F.col("own")).when(F.col("l_n") >= min_group, F.col("l_fence")).otherwise(F.col("a_fence"))
+    fence = F.least(F.when(F.col("n") >= min_group, F.col("own")), F.when(F.col("l_n") >= min_group, F.col("l_fence")), F.col("a_fence"))  # passes over nulls
     return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("feature") == f, fence + t)).alias(f"max_{f}") for f, t in TOLERANCE.items()])
 
 

@@ -267,6 +267,16 @@ def test_quality_rules_on_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.where("doc_id = 6").count() == 0
 
 
+def test_source_full_of_junk_does_not_raise_its_own_limits(spark):
+    clean = " ".join(f"word{i}" for i in range(40))
+    symbols, lines = clean + " " + "#$%&" * 20, "\n".join(f"{clean} {i}\nz" if i == 0 else f"line{i} of its own\nz" for i in range(10))
+    given = [("en", "clean", clean)] * 1400 + [("en", "sym", clean)] * 180 + [("en", "sym", symbols)] * 120 + [("en", "dup", clean)] * 180 + [("en", "dup", lines)] * 120 + [("de", "few", symbols)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(given)], "doc_id long, lang string, source string, text string")
+    got = {r["doc_id"]: r for r in quality_rules.judge(df, ["doc_id"]).collect()}
+    assert len(got) == len(given) and not any(r["base_failed"] for r in got.values())
+    assert [got[i]["kept"] for i in range(len(given))] == [t == clean for _, _, t in given]
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline as P
 
