@@ -4,9 +4,11 @@ The standard library's parser turns a page into lines: a line ends where a
 block element begins or ends. Each line has its text, its number of tags and
 the chain of elements around it. A line's ratio is its characters by its tags;
 ratios are smoothed with a Gaussian and split in two clusters, and the lines
-of the upper one are the content. The content region is the innermost element
-that holds them (article and main elements first): every line in it counts,
-so a short paragraph between long ones is not lost. Lines inside elements that
+of the upper one are the content. The content region is the article or main
+element with most of them; if they lie in several articles, the innermost
+element that holds them all; without article and main, that element or one
+around it, as long as the outer one adds only headings and paragraphs. Every
+line in the region counts, so a short paragraph between long ones is not lost. Lines inside elements that
 are no main text by their kind or by a word of their class, id or role (menus,
 adverts, notices, comments) have no ratio and are never part of the region.
 """
@@ -37,6 +39,8 @@ OTHER_WORDS = frozenset(
 REGIONS = {"article": 0, "main": 0}
 #: Elements that end an open one of the same group (their end tag may be left out).
 ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Blocks that belong to the text they stand beside.
+PLAIN = frozenset("h1 h2 h3 h4 h5 h6 p".split())
 SIGMA = 1.0
 
 
@@ -125,6 +129,18 @@ def threshold(values: np.ndarray) -> float:
     return cut
 
 
+def climb(parser: Lines, plain: list[int], region: int) -> int:
+    """The outermost element around ``region`` that is reached by adding only
+    headings and paragraphs."""
+    around = next((c[: c.index(region)] for _, _, c, _ in parser.lines if region in c), ())
+    for parent in reversed(around):
+        added = [parser.lines[i][2] for i in plain if parent in parser.lines[i][2] and region not in parser.lines[i][2]]
+        if any(c[-2:-1] != (parent,) or parser.names[c[-1]] not in PLAIN for c in added):
+            break
+        region = parent
+    return region
+
+
 def main_text(html: str | None) -> str:
     """Main text of a page, a line per block; empty if it has none."""
     parser = Lines()
@@ -145,13 +161,16 @@ def main_text(html: str | None) -> str:
         total += size
         for element in lines[i][2]:
             held[element] = held.get(element, 0) + size
-    # the innermost article, main or other element with most of the content
     regions = [e for e, size in held.items() if size * 2 > total]
     best = [e for e in regions if parser.names[e] in REGIONS]
-    if not best:
+    articles = {next((e for e in lines[i][2] if parser.names[e] == "article"), None) for i in content} - {None}  # outermost ones
+    if len(articles) > 1:
+        region = max((e for e, size in held.items() if size == total), default=-1)
+    elif best:
+        region = min(articles & set(best), default=max(best))
+    else:
         leaf = {lines[i][2][-1] for i in content if lines[i][2]}
-        best = [e for e in regions if e not in leaf and held[e] == total] or [-1]
-    region = max(best)
+        region = climb(parser, plain, max((e for e in regions if e not in leaf and held[e] == total), default=-1))
     return "\n".join(lines[i][0] for i in plain if region < 0 or region in lines[i][2])
 
 

@@ -27,6 +27,20 @@ def test_main_text():
     assert html.main_text("<p>cut off &am") == "cut off &am"
 
 
+def test_main_text_keeps_headline_lead_and_every_article():
+    body = [f"Paragraph {i} " + "with many words of the text " * 14 for i in range(3)]
+    paragraphs = "".join(f"<p>{p}</p>" for p in body)
+    kept = [" ".join(p.split()) for p in body]
+    page = f"<body><div class=top><span>Site</span></div><div id=content><h1>Title</h1><p>Lead.</p><div class=body>{paragraphs}</div><p>End.</p></div><div>Other</div></body>"
+    assert html.main_text(page).split("\n") == ["Title", "Lead.", *kept, "End."]
+    for first, later in ((2, 3), (3, 2)):
+        one, two = paragraphs * first, paragraphs * later
+        page = f"<body><div>Site</div><main><article><h2>One</h2>{one}</article><article><h2>Two</h2>{two}</article></main><div>Other</div></body>"
+        assert html.main_text(page).split("\n") == ["One", *kept * first, "Two", *kept * later]
+    page = f"<body><div>Site</div><article><h2>Own</h2>{paragraphs}<article><h2>Inner</h2>{paragraphs * 2}</article></article><div>Other</div></body>"
+    assert html.main_text(page).split("\n") == ["Own", *kept, "Inner", *kept * 2]
+
+
 def test_extract_rows(spark):
     df = pages(spark, [None, "", "<p>a</p>", "<p>" + "x " * 200_000]).selectExpr("*", "1 as text", "2 as n_chars")
     got = {r[0]: r for r in html.extract(df).collect()}
