@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,21 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Hadoop's names of file systems that Arrow knows by another.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}
+
+
+def filesystem(uri: str):
+    """The Arrow file system of a Hadoop path, and the path in it. Called in
+    tasks, which write files of their own format into the shared folder."""
+    from pyarrow import fs
+
+    if local := re.match(r"file:/+(.*)", uri):
+        return fs.LocalFileSystem(), "/" + local[1]
+    scheme, colon, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + colon + rest)
+
+
 def words(text: Column) -> Column:
     """Runs of non-white-space, in order; null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")

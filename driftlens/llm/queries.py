@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import bpe, classifier, fingerprints, html, packing, quality_rules, simhash, suffix_dedup, urls, warc
+from driftlens.llm import bpe, classifier, filter_audit, fingerprints, html, packing, quality_rules, simhash, suffix_dedup, token_files, urls, warc
 from driftlens.llm.common import table
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """The tokenizer file that the queries use, on every machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_document_fingerprints": fingerprints.query,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -42,6 +46,8 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_classifier": classifier.query,
     "op10_quality_rules": quality_rules.query,
+    "op12_filter_audit": filter_audit.query,
+    "op13_token_files": op13_token_files,
 }
 
 ORACLE = {
@@ -49,4 +55,5 @@ ORACLE = {
     "op7_url_filters": urls.oracle_sql(),
     "op8_warc": warc.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op12_filter_audit": filter_audit.ORACLE,
 }
