@@ -354,7 +354,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str, file_ids: int = FILE_IDS
     rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("text_hash"), F.monotonically_increasing_id().alias("place"))
     order = ["doc_id", "text_hash", "place"]
     dealt = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order).select("doc_id", "text")
-    return checkpoint(dealt.mapInArrow(run, "task int, file int, path string, ids long, documents long"))
+    return checkpoint(dealt.mapInArrow(run, "task long, file long, path string, ids long, documents long"))
 
 
 def with_starts(files: DataFrame) -> DataFrame:
