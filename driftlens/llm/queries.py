@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from driftlens.llm import bpe, classifier, filter_audit, fingerprints, html, packing, quality_rules, simhash, suffix_dedup, token_files, urls, warc
+from driftlens.llm import bpe, classifier, codes, filter_audit, fingerprints, html, packing, quality_rules, simhash, suffix_dedup, token_files, urls, warc
 from driftlens.llm.common import table
 
 
@@ -46,6 +46,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_quality_classifier": classifier.query,
     "op10_quality_rules": quality_rules.query,
+    "op11_vector_codes": codes.query,
     "op12_filter_audit": filter_audit.query,
     "op13_token_files": op13_token_files,
 }
@@ -55,5 +56,6 @@ ORACLE = {
     "op7_url_filters": urls.oracle_sql(),
     "op8_warc": warc.ORACLE,
     "op10_quality_rules": quality_rules.ORACLE,
+    "op11_vector_codes": codes.ORACLE,
     "op12_filter_audit": filter_audit.ORACLE,
 }

@@ -1,0 +1,86 @@
+"""The filter audit against a plain loop over documents and orders."""
+
+from collections import Counter
+from itertools import permutations
+
+from driftlens.llm import filter_audit as fa
+
+WHITE = " \t\n\r\x0b\x0c"
+
+
+def words(text):
+    for c in WHITE:
+        text = text.replace(c, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def plain(docs, labels):
+    good = {d for d, q, _ in labels if q == 1}
+    toxic = {d for d, _, t in labels if t == 1}
+    rows = []
+    for d, text, source in docs:
+        text = text or ""
+        w = words(text)
+        fails = set()
+        if len(w) < 200:
+            fails.add("A")
+        if 100 * len(set(w)) < 50 * len(w):
+            fails.add("B")
+        if 100 * sum("A" <= c <= "Z" for c in text) > 2 * len(text):
+            fails.add("C")
+        if any(c in text for c in "#$%&*|"):
+            fails.add("D")
+        if d is not None and any(e is not None and e < d and (t or "") == text for e, t, _ in docs):
+            fails.add("E")
+        rows.append((source or "", fails, d in good and d is not None, d in toxic and d is not None))
+    out = {}
+    for part in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == part]
+        total = Counter()
+        for order in permutations("ABCDE"):
+            live = mine
+            for step, f in enumerate(order, 1):
+                gone = [r for r in live if f in r[1]]
+                live = [r for r in live if f not in r[1]]
+                failing = sum(f in r[1] for r in mine)
+                total[f] += len(gone)
+                out[part, "".join(order), step] = [len(live), len(gone), failing - len(gone), sum(r[1] == {f} for r in mine), sum(r[2] for r in gone), sum(r[3] for r in gone)]
+        for (p, order, step), m in out.items():
+            if p == part:
+                m.append(total[order[step - 1]])
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def result(df):
+    return {(r["part"], r["filter_order"], r["step"]): tuple(r[3:]) for r in df.collect()}
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_audit_of_odd_documents(spark, odd_docs):
+    long = " ".join(f"w{i}" for i in range(250))
+    more = [(20, long, "a"), (21, long, "b"), (22, long + " #", "a"), (23, long + " A" * 200, "a"), (24, long, "a"), (25, "x y " * 300, "b"), (26, "É" * 97 + "ABC", None), (27, long + "\x0bw", "a")]
+    docs = odd_docs.select("doc_id", "text", "source").unionByName(spark.createDataFrame(more, "doc_id long, text string, source string"))
+    labels = [(1, 1, 0), (2, 1, 1), (2, 0, None), (20, 1, 1), (24, 1, 1), (5, None, None), (None, 1, 1), (99, 1, 1), (6, 0, 1)]
+    want = plain([tuple(r) for r in docs.collect()], labels)
+    extra = docs.selectExpr("*", "'z' as part", "1 as mask", "2 as good", "3 as n", "'q' as digest")
+    assert result(fa.audit(extra, spark.createDataFrame(labels, LABELS))) == want
+    assert {k[0] for k in want} == {"", "a", "b", "c"} and len(want) == 4 * 600
+
+
+def test_audit_of_nothing(spark, no_docs):
+    labels = spark.createDataFrame([(1, 1, 1)], LABELS)
+    out = fa.audit(no_docs, labels)
+    assert out.collect() == []
+    assert out.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+
+
+def test_no_row_limit_of_the_session_cuts_the_recursion(spark):
+    docs = spark.range(40).selectExpr("id as doc_id", "'same words' as text", "concat('s', id) as source")
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
+    try:
+        assert fa.audit(docs, spark.createDataFrame([], LABELS)).count() == 40 * 600
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", before)
