@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.functions.names import registry_parts, ts_ntz
@@ -48,16 +48,20 @@ def due_entries(
     The HWM is a single scalar read once (pass ``hwm`` to reuse one already
     read); as a literal it is pushed down to the registry scan.
     """
-    entries = parse_registry(registry, check_type, lower_all=False)
     if hwm is NO_STATE:
         hwm = current_hwm(state, check_type)
-    if hwm is None:
-        entries = entries.where(F.lit(False))
-    elif hwm is not NO_STATE:
-        entries = entries.where(F.col("updated_at") > ts_ntz(hwm))
+    entries = parse_registry(registry, check_type, lower_all=False).where(is_newer(hwm))
     return not_in(entries, "config_id", baseline.select("config_id"))
 
 
+def is_newer(hwm) -> Column:
+    """Strictly newer than a high-water mark: nothing is if it is NULL,
+    everything without a state row (:data:`NO_STATE`)."""
+    if hwm is None or hwm is NO_STATE:
+        return F.lit(hwm is NO_STATE)
+    return F.col("updated_at") > ts_ntz(hwm)
+
+
 def captured_configs(baseline: DataFrame) -> DataFrame:
     """Entries that already have a baseline."""
     return baseline.select("config_id").distinct()

@@ -3,8 +3,8 @@
 The original issued one information_schema query per registered table. Here
 the live columns of a source (one read per connector and catalog, see
 :mod:`driftlens.sources.information_schema`) meet all entries in a single
-equi-join on (catalog, schema, table). The entry side is registry-sized and
-is broadcast only behind a checked row count.
+equi-join on (catalog, schema, table). No side is hinted: the optimizer
+broadcasts one whose size it knows to be small, AQE one that it has measured.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlens.functions.names import fold, fold_by_source, qualified_name
-from driftlens.operators.common import broadcast_if_small
 
 # Connector whose identifiers are folded to upper case at detection time
 # (fixed value of the original rule; every other connector folds to lower).
@@ -48,10 +47,8 @@ def _conditions(
     return conds
 
 
-def _match(entries: DataFrame, columns: DataFrame, case, source_case, bound_by=None) -> DataFrame:
-    e = broadcast_if_small(
-        entries.select("config_id", "source", "catalog_name", "schema_name", "tbl_name"), bound_by=bound_by
-    )
+def _match(entries: DataFrame, columns: DataFrame, case, source_case) -> tuple[DataFrame, DataFrame]:
+    e = entries.select("config_id", "source", "catalog_name", "schema_name", "tbl_name")
     return e.join(columns, _conditions(e, columns, case, source_case), "inner"), e
 
 
@@ -60,16 +57,14 @@ def snapshot(
     entries: DataFrame,
     case: str | Mapping[str, str] = "lower",
     source_case: Mapping[str, str] | None = None,
-    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Current column metadata of every entry, in the layout the diff compares.
 
     ``entries`` comes from ``parse_registry(lower_all=True)``. Identifiers and
     types are lowered, a NULL length becomes 0, the ordinal becomes an int,
-    and rows are de-duplicated (``SELECT DISTINCT``) per entry. ``bound_by``:
-    see :func:`driftlens.operators.common.broadcast_if_small`.
+    and rows are de-duplicated (``SELECT DISTINCT``) per entry.
     """
-    j, e = _match(entries, columns, case, source_case, bound_by)
+    j, e = _match(entries, columns, case, source_case)
     return j.select(
         e["config_id"],
         qualified_name(e["source"], columns["table_catalog"], columns["table_schema"], columns["table_name"]).alias(
@@ -88,7 +83,6 @@ def capture(
     columns: DataFrame,
     case: str | Mapping[str, str] = "exact",
     source_case: Mapping[str, str] | None = None,
-    bound_by: DataFrame | None = None,
 ) -> DataFrame:
     """Baseline rows (schema_configuration layout) for the given entries.
 
@@ -96,7 +90,7 @@ def capture(
     DISTINCT), as the original did. ``entries`` comes from
     :func:`driftlens.operators.registry.due_entries`.
     """
-    j, e = _match(entries, columns, case, source_case, bound_by)
+    j, e = _match(entries, columns, case, source_case)
     return j.select(
         e["config_id"],
         F.lower(columns["column_name"]).alias("column_name"),
@@ -107,15 +101,14 @@ def capture(
     )
 
 
-def unmatched_entries(entries: DataFrame, columns: DataFrame, case="exact", source_case=None, bound_by=None) -> DataFrame:
+def unmatched_entries(entries: DataFrame, columns: DataFrame, case="exact", source_case=None) -> DataFrame:
     """Entries whose table has no live column (the original skipped them
     silently and the HWM then passed them by).
 
-    The matched entries come from the same broadcast join as the capture and
-    are de-duplicated before the anti join, so the large live side is never
-    shuffled for this (an anti join can only broadcast its right side).
+    The matched entries come from the same join as the capture and are
+    de-duplicated (partially before any shuffle) ahead of the anti join.
     """
     cols = ["config_id", "source", "catalog_name", "schema_name", "tbl_name"]
-    j, e = _match(entries, columns, case, source_case, bound_by)
+    j, e = _match(entries, columns, case, source_case)
     matched = j.select(*[e[c] for c in cols]).distinct()
     return entries.select(*cols).join(matched, cols, "left_anti")

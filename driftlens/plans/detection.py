@@ -2,14 +2,14 @@
 
 registry -> entries -> live snapshot (read once, checkpointed) and stored
 baseline -> all rules in one pass -> anomaly rows -> run-date partition of
-the anomaly table. One plan, one write; only the rule catalogue and a checked
-entry count reach the driver.
+the anomaly table. One plan, one write; only the rule catalogue and the number
+of anomalies reach the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +19,10 @@ from driftlens.operators.reports import all_reports
 from driftlens.operators.snapshot import UPPER_CASE_CONNECTORS, snapshot
 from driftlens.operators.stored import baseline_view as named
 from driftlens.operators.stored import stored
+from driftlens.sinks.store import Store
 from driftlens.sources.connectors import Connector, case_rules
+from driftlens.sources.live import LiveMetadata, live_for_detection
+from driftlens.types import BASELINE
 
 
 @dataclass
@@ -28,11 +31,12 @@ class DetectionRun:
     current: DataFrame
     baseline: DataFrame
     anomalies: DataFrame
+    found: int | None = None  # anomalies written, once they are
 
 
 def plan_detection(
     registry: DataFrame,
-    live_columns: DataFrame,
+    live_columns: DataFrame | LiveMetadata,
     baseline_view: DataFrame,
     rules: DataFrame,
     run_ts,
@@ -53,20 +57,27 @@ def plan_detection(
     original rule holds: ``snowflake_uat`` folds to upper case, every other
     connector to ``case`` (lower).
 
+    ``live_columns`` may be :class:`driftlens.sources.live.LiveMetadata`, which
+    brings the case rule that it was read under.
+
     ``freeze_live`` checkpoints the live snapshot (reliable checkpoint in
     ``spark.checkpoint.dir``): live metadata is read exactly once per run, so
     every rule sees the same state even if a source changes meanwhile, and a
-    lost executor does not re-query the sources.
+    lost executor does not re-query the sources. The stored baseline, which the
+    rules read twice (by column and by table), is frozen with it.
     """
     if connectors is not None:
         source_case = case_rules(connectors)
     entries = parse_registry(registry, check_type, lower_all=True)
-    current = snapshot(live_columns, entries, case=case, source_case=source_case)
-    if freeze_live:
-        current = current.checkpoint(eager=True)
+    if isinstance(live_columns, LiveMetadata):
+        current = live_columns.snapshot(entries)
+    else:
+        current = snapshot(live_columns, entries, case=case, source_case=source_case)
     if "table_name" not in baseline_view.columns:  # as run_capture writes it
         baseline_view = named(baseline_view, registry, check_type)
     old = stored(baseline_view, entries, match=match)
+    if freeze_live:
+        current, old = current.checkpoint(eager=True), old.checkpoint(eager=True)
     detected = detect(old, current, rule_specs(rules))
     return DetectionRun(entries, current, old, to_anomaly_rows(detected, run_ts))
 
@@ -78,8 +89,21 @@ def run_detection(spark: SparkSession, out_path: str, run_key: str | None = None
     from driftlens.sinks import write_run
 
     run = plan_detection(**kwargs)
-    write_run(run.anomalies, out_path, kwargs["run_ts"].date(), run_key or kwargs.get("check_type", "schema"))
-    return run
+    found = write_run(run.anomalies, out_path, kwargs["run_ts"].date(), run_key or kwargs.get("check_type", "schema"))
+    return replace(run, found=found)
+
+
+def detect_from_connectors(
+    spark: SparkSession, out_path: str, registry: DataFrame, connectors: Mapping[str, Connector], store: Store, rules: DataFrame, run_ts,
+    check_type: str = "schema", run_key: str | None = None, match: str = "eq", **options
+) -> DetectionRun:
+    """Detection from the registered sources against the store's baseline: the
+    sources are read and matched by each connector's case setting."""
+    live = live_for_detection(spark, parse_registry(registry, check_type, lower_all=True), connectors, **options)
+    return run_detection(
+        spark, out_path, run_key, registry=registry, live_columns=live, baseline_view=store.read("baseline", BASELINE), rules=rules,
+        run_ts=run_ts, match=match, check_type=check_type,
+    )
 
 
 def daily_reports(

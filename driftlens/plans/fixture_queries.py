@@ -159,7 +159,7 @@ def captured_configs_q(spark, sf_dir):
 def capture_baseline(spark, sf_dir):
     reg = fx.registry(spark, sf_dir)
     due = due_entries(reg, fx.baseline(spark, sf_dir), fx.state(spark))
-    return capture(due, fx.live_columns(spark, sf_dir), case=CAPTURE_CASE, bound_by=reg)
+    return capture(due, fx.live_columns(spark, sf_dir), case=CAPTURE_CASE)
 
 
 def incremental_capture_q(spark, sf_dir):

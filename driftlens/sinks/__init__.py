@@ -1,48 +1,23 @@
-"""Writers for anomalies, baseline rows and the high-water-mark state.
-
-Parquet sinks are the default; JDBC is in :mod:`driftlens.sources.jdbc`.
+"""Writers: anomalies by run here, baseline and state in
+:mod:`driftlens.sinks.store`, JDBC in :mod:`driftlens.sources.jdbc`.
 """
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_anomalies(anomalies: DataFrame, path: str) -> None:
-    """schema_anamoly as parquet partitioned by run date, overwriting only the
-    run dates present in ``anomalies``: a rerun of a day replaces that day
-    instead of appending a second copy."""
-    (
-        anomalies.withColumn("run_date", F.to_date("updated_at"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .parquet(path)
-    )
-
-
-def write_run(anomalies: DataFrame, path: str, run_date, run_key: str) -> None:
-    """One run's anomalies as the partition (run_date, run_key) of the table.
+def write_run(anomalies: DataFrame, path: str, run_date, run_key: str) -> int:
+    """One run's anomalies as the partition (run_date, run_key) of the table;
+    returns their number, observed while writing.
 
     Exactly that partition is replaced, also by a run that finds nothing, and
     runs with another key on the same day are left alone."""
     scope = f"{path}/run_date={run_date.isoformat()}/run_key={quote(run_key, safe='')}"
-    anomalies.write.mode("overwrite").parquet(scope)
-
-
-def append_baseline(rows: DataFrame, path: str) -> None:
-    """schema_configuration: append captured rows."""
-    rows.write.mode("append").parquet(path)
-
-
-def write_state(state: DataFrame, path: str) -> None:
-    """master_config_status: replace the state table.
-
-    The new state usually derives from the old one at the same path, so it is
-    checkpointed first (reliable, in ``spark.checkpoint.dir``) to cut that
-    lineage before the overwrite.
-    """
-    state.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+    seen = Observation(f"anomalies-{uuid.uuid4().hex}")
+    anomalies.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(scope)
+    return int(seen.get.get("rows") or 0)

@@ -57,6 +57,27 @@ STATE = T.StructType(
     ]
 )
 
+# Entries that were due but had no live table yet; they are due again.
+PENDING = T.StructType(
+    [
+        T.StructField("config_id", T.LongType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("check_type", T.StringType()),
+        T.StructField("run_key", T.StringType()),
+    ]
+)
+
+# Rows set aside on the way in: of entries and captured rows alike, the keys
+# that both have, and why.
+REJECTED = T.StructType(
+    [
+        T.StructField("config_id", T.LongType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("column_name", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+    ]
+)
+
 # anamoly_master: the data-driven rule catalogue.
 RULES = T.StructType(
     [

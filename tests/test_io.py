@@ -1,5 +1,5 @@
 """Sources and sinks: JDBC over in-process Derby, idempotent anomaly writes,
-capture job, streaming capture, lakehouse snapshot, end-to-end detection."""
+lakehouse snapshot, end-to-end detection."""
 
 import datetime as dt
 import uuid
@@ -9,15 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftlens.operators import parse_registry
-from driftlens.plans.capture import incremental_capture, run_capture
+from driftlens.plans.capture import run_capture
 from driftlens.plans.detection import daily_reports, run_detection
-from driftlens.sinks import write_anomalies
+from driftlens.sinks.store import Store
 from driftlens.sources import fixtures as fx
 from driftlens.sources.connectors import Connector, case_rules
 from driftlens.sources.information_schema import read_live_columns, schema_predicates
 from driftlens.sources.jdbc import append, read_query, read_table
 from driftlens.sources.lakehouse import snapshot_from_tables
-from driftlens.streaming.capture_stream import registry_file_batch, start_capture_stream
+from driftlens.sources.live import LiveMetadata
 from driftlens.types import BASELINE
 
 from conftest import SF_SMALL
@@ -95,55 +95,6 @@ def test_unknown_connector_kind_is_an_error():
         Connector("x", "mysql-ish")
 
 
-def test_anomaly_sink_rerun_replaces_the_day(spark, scratch):
-    from driftlens.plans.fixture_queries import anomaly_rows
-
-    rows = anomaly_rows(spark, SF_SMALL)
-    path = f"{scratch}/schema_anamoly"
-    write_anomalies(rows, path)
-    write_anomalies(rows, path)  # rerun of the same run dates
-    assert spark.read.parquet(path).count() == rows.count()  # B11 fixed
-    day2 = rows.where("updated_at >= '2023-04-19'")
-    write_anomalies(day2, path)
-    assert spark.read.parquet(path).count() == rows.count()
-
-
-def test_capture_job_writes_baseline_then_state_and_is_rerunnable(spark, scratch):
-    base_path, state_path = f"{scratch}/baseline", f"{scratch}/state"
-    b0 = fx.baseline(spark, SF_SMALL).select(*[f.name for f in BASELINE.fields])
-    b0.write.parquet(base_path)
-    fx.state(spark).write.parquet(state_path)
-    reg, live = fx.registry(spark, SF_SMALL), fx.live_columns(spark, SF_SMALL)
-    case = {"catalog": "exact", "schema": "fold", "table": "exact"}
-    run = run_capture(reg, live, spark.read.parquet(base_path), spark.read.parquet(state_path), base_path, state_path, case=case)
-    n_captured = run.captured.count()
-    assert n_captured > 0
-    after = spark.read.parquet(base_path)
-    assert after.count() == b0.count() + n_captured
-    new_state = {r["check_type"]: r["updated_at"] for r in spark.read.parquet(state_path).collect()}
-    assert new_state["schema"] == reg.where("check_type = 'schema'").agg(F.max("updated_at")).first()[0]
-    # a second run finds nothing newer than the advanced HWM
-    again = incremental_capture(reg, live, spark.read.parquet(base_path), spark.read.parquet(state_path), case=case)
-    assert again.captured.count() == 0
-
-
-def test_streaming_capture_equals_batch_capture(spark, scratch):
-    reg = fx.registry(spark, SF_SMALL).where("config_id < 200")
-    live = fx.live_columns(spark, SF_SMALL)
-    case = {"catalog": "exact", "schema": "fold", "table": "exact"}
-    reg_dir, base_path = f"{scratch}/registry", f"{scratch}/baseline"
-    registry_file_batch(reg.where("config_id < 100")).write.parquet(reg_dir)
-    q = start_capture_stream(spark, reg_dir, live, base_path, f"{scratch}/ckpt", case=case)
-    q.awaitTermination(300)
-    registry_file_batch(reg.where("config_id >= 100")).write.mode("append").parquet(reg_dir)
-    q = start_capture_stream(spark, reg_dir, live, base_path, f"{scratch}/ckpt", case=case)
-    q.awaitTermination(300)
-    streamed = spark.read.parquet(base_path)
-    empty = spark.createDataFrame([], BASELINE)
-    batch = incremental_capture(reg, live, empty, fx.state(spark).where("false"), case=case).captured
-    assert bag(streamed) == bag(batch)
-
-
 def test_lakehouse_snapshot_matches_duckdb_information_schema(spark):
     names = ["lineitem", "orders", "events", "documents", "embeddings"]
     snap = snapshot_from_tables(spark, {n: fx.table(spark, SF_SMALL, n) for n in names})
@@ -194,29 +145,17 @@ def test_clean_rerun_and_other_runs_of_a_day(spark, scratch):
     assert spark.read.parquet(out).count() == found
 
 
-def test_two_versions_of_an_entry_in_one_stream_batch(spark, scratch):
-    reg = fx.registry(spark, SF_SMALL).where("config_id < 100 and check_type = 'schema'")
-    live, reg_dir, base_path = fx.live_columns(spark, SF_SMALL), f"{scratch}/registry", f"{scratch}/baseline"
-    later = reg.withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 day"))
-    registry_file_batch(reg.unionByName(later)).write.parquet(reg_dir)
-    case = {"catalog": "exact", "schema": "fold", "table": "exact"}
-    start_capture_stream(spark, reg_dir, live, base_path, f"{scratch}/ckpt", case=case).awaitTermination(300)
-    batch = incremental_capture(reg, live, spark.createDataFrame([], BASELINE), fx.state(spark).where("false"), case=case).captured
-    assert bag(spark.read.parquet(base_path)) == bag(batch)
-
-
 def test_capture_output_feeds_detection_and_reports(spark, scratch):
     reg, live = fx.registry(spark, SF_SMALL).where("config_id < 200"), fx.live_columns(spark, SF_SMALL)
-    base_path, state_path, out = f"{scratch}/baseline", f"{scratch}/state", f"{scratch}/anomalies"
-    spark.createDataFrame([], BASELINE).write.parquet(base_path)
-    fx.state(spark).where("false").write.parquet(state_path)
-    run_capture(reg, live, spark.read.parquet(base_path), spark.read.parquet(state_path), base_path, state_path, case={"catalog": "exact", "schema": "fold", "table": "exact"})
+    store, out = Store(spark, f"{scratch}/store"), f"{scratch}/anomalies"
+    run_capture(reg, LiveMetadata(live, {"catalog": "exact", "schema": "fold", "table": "exact"}), store, "first")
+    base = store.read("baseline", BASELINE)
     conns = {"redshift_dev": Connector("redshift_dev", "redshift", identifier_case="upper")}
     drifted = live.where("column_name <> 'C2'").withColumn("data_type", F.when(F.col("column_name") == "C1", "TEXT").otherwise(F.col("data_type")))
-    kwargs = dict(registry=reg, baseline_view=spark.read.parquet(base_path), rules=fx.rules(spark), run_ts=dt.datetime(2023, 4, 19, 7, 0), connectors=conns)
-    run_detection(spark, out, live_columns=drifted, **kwargs)
+    kwargs = dict(registry=reg, baseline_view=base, rules=fx.rules(spark), run_ts=dt.datetime(2023, 4, 19, 7, 0), connectors=conns)
+    run = run_detection(spark, out, live_columns=drifted, **kwargs)
+    assert run.found == spark.read.parquet(out).count()
     found = {r["anamoly_id"]: r["n"] for r in spark.read.parquet(out).groupBy("anamoly_id").agg(F.count("*").alias("n")).collect()}
-    base = spark.read.parquet(base_path)
     assert found[0] >= base.where("column_name = 'c2'").count() > 0  # dropped columns
     assert found[2] > found[0] and 1 not in found
     reports = daily_reports(spark, out, reg, fx.rules(spark), "2023-04-19", "link")
