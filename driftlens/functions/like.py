@@ -17,8 +17,9 @@ only at the literal lengths that occur among the patterns. A key is one
 ``xxhash64`` of (kind, length, text), so a collision only adds a candidate:
 every candidate pair is still checked with ``LIKE``.
 
-Keys are produced with ``explode(sequence(..))`` and plain expressions, which
-stay in whole-stage codegen (higher-order lambdas would not).
+Which kinds and literal lengths occur is a property of the patterns, read off
+them once; a pattern of one shape adds its own keys to the names and changes
+those of no other pattern.
 """
 
 from __future__ import annotations
@@ -35,10 +36,6 @@ def _key(kind: str, klen, text: Column) -> Column:
     return F.xxhash64(F.lit(kind), klen, text)
 
 
-def _substr(s: Column, pos: Column, n) -> Column:
-    return F.substr(s, pos, n if isinstance(n, Column) else F.lit(n))
-
-
 def pattern_anchors(pattern: Column) -> dict[str, Column]:
     """Length (or -1), literal prefix and literal suffix of a LIKE pattern."""
     has_escape = F.instr(pattern, "\\") > 0
@@ -51,52 +48,59 @@ def pattern_anchors(pattern: Column) -> dict[str, Column]:
     return {"klen": klen, "prefix": prefix, "suffix": suffix, "has_escape": has_escape}
 
 
-def needs_grams(pattern: Column) -> Column:
-    """True for patterns with no anchored literal but an inner literal of 3+ chars."""
+def _kinds(pattern: Column) -> Column:
+    """(kind, literal length) of every key that a pattern can be found by."""
     a = pattern_anchors(pattern)
     inner = F.regexp_extract(pattern, r"[^_%\\]{3}", 0) != ""
-    return (a["prefix"] == "") & (a["suffix"] == "") & ~a["has_escape"] & inner
+    anchored = (a["prefix"] != "") | (a["suffix"] != "")
+    exact = a["klen"] >= 0
+
+    def kind(k: str, n, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(k).alias("kind"), (F.lit(n) if isinstance(n, int) else n).cast("int").alias("n")))
+
+    return F.filter(
+        F.array(
+            kind("P", F.char_length(a["prefix"]), a["prefix"] != ""),
+            kind("S", F.char_length(a["suffix"]), a["suffix"] != ""),
+            kind("G", GRAM, ~anchored & ~a["has_escape"] & inner),
+            kind("L", 0, ~anchored & ~inner & exact),
+            kind("A", 0, ~anchored & ~(~a["has_escape"] & inner) & ~(~inner & exact)),
+        ),
+        lambda x: x.isNotNull(),
+    )
 
 
-def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern", grams: bool = True) -> DataFrame:
-    """(pattern, key) rows: the keys a pattern requires of any name it matches.
+def kinds(patterns: DataFrame, pattern_col: str = "_pattern") -> list[tuple[str, int]]:
+    """The distinct (kind, literal length) of the patterns' keys: at most two a
+    character of a name and three more, whatever the number of patterns."""
+    each = patterns.select(F.explode(_kinds(F.col(pattern_col))).alias("k")).select("k.kind", "k.n").distinct()
+    return sorted((r["kind"], r["n"]) for r in each.collect())
+
 
-    ``grams=False`` is for a caller that knows no pattern satisfies
-    :func:`needs_grams`; the (then empty) 3-gram branch is not planned.
-    """
-    p = F.col(pattern_col)
+def pattern_keys(patterns: DataFrame, pattern_col: str = "_pattern") -> DataFrame:
+    """(pattern, key) rows: the keys a pattern requires of any name it matches.
+    Each pattern's own shape chooses the kind: its literal ends, else the runs
+    inside its literals, else its length, else nothing (the catch-all key)."""
+    patterns, p = patterns.select(F.col(pattern_col).alias("_pattern")), F.col("_pattern")
     a = pattern_anchors(p)
-    anchored = F.array(
+    grams = F.flatten(
+        F.transform(
+            F.filter(F.split(p, "[_%]"), lambda seg: F.char_length(seg) >= GRAM),
+            lambda seg: F.transform(F.sequence(F.lit(1), F.char_length(seg) - (GRAM - 1)), lambda i: _key("G", ANY_LEN, F.substring(seg, i, F.lit(GRAM)))),
+        )
+    )
+    has = F.transform(_kinds(p), lambda k: k["kind"])
+    ends = F.array(
         F.when(a["prefix"] != "", _key("P", a["klen"], a["prefix"])),
         F.when(a["suffix"] != "", _key("S", a["klen"], a["suffix"])),
     )
-    fallback = F.when(a["klen"] >= 0, _key("L", a["klen"], F.lit(""))).otherwise(_key("A", ANY_LEN, F.lit("")))
-    base = patterns.select(
-        p.alias("_pattern"),
-        F.explode(
-            F.when(needs_grams(p), F.array().cast("array<bigint>"))
-            .when((a["prefix"] != "") | (a["suffix"] != ""), anchored)
-            .otherwise(F.array(fallback))
-        ).alias("_k"),
-    ).where(F.col("_k").isNotNull())
-
-    if not grams:
-        return base
-    # patterns with only inner literals: every 3-gram of every literal segment
-    g = patterns.where(needs_grams(p)).select(p.alias("_pattern"), F.explode(F.split(p, "[_%]")).alias("_seg"))
-    g = g.select("_pattern", "_seg", F.explode(F.sequence(F.lit(1), F.greatest(F.char_length("_seg") - (GRAM - 1), F.lit(1)))).alias("_i"))
-    g = g.where(F.char_length("_seg") >= GRAM).select(
-        "_pattern", _key("G", ANY_LEN, _substr(F.col("_seg"), F.col("_i"), GRAM)).alias("_k")
+    keys = (
+        F.when(F.array_contains(has, "G"), grams)
+        .when(F.array_contains(has, "L"), F.array(_key("L", a["klen"], F.lit(""))))
+        .when(F.array_contains(has, "A"), F.array(_key("A", ANY_LEN, F.lit(""))))
+        .otherwise(ends)
     )
-    return base.unionByName(g)
-
-
-def literal_lengths(patterns: DataFrame, pattern_col: str = "_pattern") -> list[int]:
-    """The distinct lengths of the patterns' literal prefixes and suffixes: at
-    most as many as a name has characters, whatever the number of patterns."""
-    a = pattern_anchors(F.col(pattern_col))
-    each = F.explode(F.array(F.char_length(a["prefix"]), F.char_length(a["suffix"])))
-    return sorted(r["n"] for r in patterns.select(each.alias("n")).where("n > 0").distinct().collect())
+    return patterns.select("_pattern", F.explode(keys).alias("_k")).where(F.col("_k").isNotNull())
 
 
 def escapes_normal(pattern: Column) -> Column:
@@ -105,32 +109,24 @@ def escapes_normal(pattern: Column) -> Column:
     return F.regexp_replace(pattern, r"(\\[_%\\])|\\(.)", "$1$2")
 
 
-def name_keys(names: DataFrame, lengths: list[int], name_col: str = "_name", grams: bool = True) -> DataFrame:
-    """(name, key) rows: every key a name can satisfy.
-
-    Per name: prefixes and suffixes of the given lengths (with and without the
-    exact length), the length key, the catch-all key, and, when ``grams``,
-    every 3-character run.
-    """
-    n = F.char_length(F.col(name_col))
-    some = F.array(*[F.lit(x) for x in sorted({1, *lengths})])
-    places = F.sequence(F.lit(1), F.greatest(n, F.lit(1))) if grams else some
-    pos = names.select(F.col(name_col).alias("_name"), n.alias("_len"), F.explode(places).alias("_i"))
-    pos = pos.where(F.col("_i") <= F.greatest(F.col("_len"), F.lit(1)))
-    name, ln, i = F.col("_name"), F.col("_len"), F.col("_i")
-    pre = _substr(name, F.lit(1), i)
-    suf = _substr(name, ln - i + 1, i)
-    anchor = (i <= ln) & i.isin(lengths)
-    keys = [
-        F.when(anchor, _key("P", ln, pre)),
-        F.when(anchor, _key("P", ANY_LEN, pre)),
-        F.when(anchor, _key("S", ln, suf)),
-        F.when(anchor, _key("S", ANY_LEN, suf)),
-        F.when(i == 1, _key("L", ln, F.lit(""))),
-        F.when(i == 1, _key("A", ANY_LEN, F.lit(""))),
-    ]
-    if grams:
-        keys.append(F.when(i <= ln - (GRAM - 1), _key("G", ANY_LEN, _substr(name, i, GRAM))))
+def name_keys(names: DataFrame, occurring: list[tuple[str, int]], name_col: str = "_name") -> DataFrame:
+    """(name, key) rows: the keys by which any pattern could ask for a name,
+    of the kinds and lengths that occur among the patterns (:func:`kinds`)."""
+    names, name = names.select(F.col(name_col).alias("_name")), F.col("_name")
+    n = F.char_length(name)
+    keys = []
+    for kind, m in occurring:
+        if kind in "PS":
+            text = F.substring(name, 1, m) if kind == "P" else F.substring(name, -m, m)
+            keys += [F.when(n >= m, _key(kind, n, text)), F.when(n >= m, _key(kind, ANY_LEN, text))]
+        elif kind == "L":
+            keys.append(_key("L", n, F.lit("")))
+        elif kind == "A":
+            keys.append(_key("A", ANY_LEN, F.lit("")))
+    each = F.array(*keys) if keys else F.array().cast("array<bigint>")
+    if any(kind == "G" for kind, _ in occurring):
+        runs = F.transform(F.sequence(F.lit(1), n - (GRAM - 1)), lambda i: _key("G", ANY_LEN, F.substring(name, i, F.lit(GRAM))))
+        each = F.concat(each, F.when(n >= GRAM, runs).otherwise(F.array().cast("array<bigint>")))
     # a repeated 3-gram repeats a key; the pairs are de-duplicated after the
     # LIKE check, so no shuffle is spent on it here
-    return pos.select("_name", F.explode(F.array(*keys)).alias("_k")).where(F.col("_k").isNotNull())
+    return names.select("_name", F.explode(each).alias("_k")).where(F.col("_k").isNotNull())

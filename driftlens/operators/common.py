@@ -1,34 +1,10 @@
-"""Small plan-shaping helpers shared by the operators."""
+"""Plan-shaping helpers shared by the operators."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a registry-sized side we are willing to broadcast (~100 B a row).
-BROADCAST_ROWS = 1_000_000
-
-
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain distributed count: each task counts its share and sends one
-    number to the final aggregation. (``limit(max_rows + 1).count()`` would
-    let every task send up to ``max_rows + 1`` rows into one partition.)
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint behind a checked row count; beyond it the planner
-    (sort-merge or shuffled hash join, AQE at run time) decides.
-
-    ``bound_by`` is a cheaper DataFrame known to have at least as many rows
-    as ``df`` (e.g. the registry scan for entries derived from it); it is
-    counted instead of ``df``.
-    """
-    return F.broadcast(df) if at_most(bound_by if bound_by is not None else df, max_rows) else df
-
 
 def not_in(df: DataFrame, col: str, sub: DataFrame) -> DataFrame:
     """``df WHERE col NOT IN (SELECT k FROM sub)`` with SQL's NULL rules.

@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftlens.functions.like import escapes_normal, literal_lengths, name_keys, needs_grams, pattern_keys
-from driftlens.operators.common import BROADCAST_ROWS, at_most
+from driftlens.functions.like import escapes_normal, kinds, name_keys, pattern_keys
+
 
 def _stored_columns(b: DataFrame, config_id) -> list:
     cols = [config_id.alias("config_id"), F.lower(F.col("table_name")).alias("table_name"), F.col("column_name")]
@@ -36,28 +36,21 @@ def like_join(left: DataFrame, pattern_col: str, right: DataFrame, name_col: str
     pattern with no literal at all (``%``) has only the catch-all key and
     meets every name, which is what it matches.
     """
-    # Patterns are few bytes but costly per row (regex parsing here, a regex
-    # compiled per candidate for LIKE later); AQE would coalesce such a small
-    # shuffle into one or two tasks, so the pattern side is spread explicitly
-    # over the cluster's cores.
-    width = left.sparkSession.sparkContext.defaultParallelism
+    # Patterns are few bytes but costly per row (a regex compiled per candidate
+    # for LIKE); AQE would coalesce such a small shuffle into one or two tasks,
+    # so the pattern side keeps the cluster's number of shuffle partitions.
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pats = left.select(F.col(pattern_col).alias("_pattern")).repartition(width, "_pattern").distinct()
-    # 3-gram keys only when some pattern needs them (probed on the raw
-    # column: no shuffle, and it stops at the first hit)
-    grams = left.where(needs_grams(F.col(pattern_col))).limit(1).count() > 0
-    pk = pattern_keys(pats, grams=grams)
-    wanted = pk.select("_k").distinct()
-    # Without 3-grams a pattern requires at most two keys, so the wanted set
-    # is bounded by twice the pattern rows: under that checked bound it is
-    # broadcast, the name keys stay map-side and reach the candidate join
-    # through a plain shuffle on the key, which AQE can split when one key is
-    # shared by a large share of all names (a common prefix, the catch-all
-    # key of '%'). With 3-grams there is no such bound; AQE decides.
-    if not grams and at_most(left, BROADCAST_ROWS // 2):
-        wanted = F.broadcast(wanted)
-
+    pk = pattern_keys(pats)
+    # No side is hinted. The semi join has the key's hash as a second key, which
+    # changes no match: its sides are plain shuffles, and so are those of the
+    # candidate join on the key alone. AQE can then broadcast the wanted keys if
+    # it has measured them to be small, and split a key that a large share of
+    # all names has (a common prefix, the catch-all key of '%').
+    again = F.xxhash64("_k").alias("_again")
+    wanted = pk.select("_k").distinct().select("_k", again)
     names = right.select(F.col(name_col).alias("_name")).distinct()
-    nk = name_keys(names, literal_lengths(left, pattern_col), grams=grams).join(wanted, "_k", "left_semi")
+    nk = name_keys(names, kinds(left, pattern_col)).select("*", again).join(wanted, ["_k", "_again"], "left_semi").drop("_again")
     freq = nk.groupBy("_k").agg(F.count(F.lit(1)).alias("_freq"))
 
     best = (

@@ -41,7 +41,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # because the fixture registry spells it "Public" and the source "PUBLIC".
 SNAPSHOT_CASE = "upper"
 CAPTURE_CASE = {"catalog": "exact", "schema": "fold", "table": "exact"}
-CONNECTOR_CASE = {"redshift_dev": "upper"}
+CONNECTOR_CASE = {"redshift_dev": "upper", "postgres_dev": "lower"}
 
 
 def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -107,14 +107,23 @@ def due_entries_null_aware(spark, sf_dir):
     return not_in(entries, "config_id", ids)
 
 
+def due_entries_null_left(spark, sf_dir):
+    """NULL ids on the left of NOT IN are in no result unless nothing is
+    captured; the others are kept when they match no captured id."""
+    r = fx.registry(spark, sf_dir)
+    entries = r.select(F.when((F.col("config_id") % 7) != 0, F.col("config_id")).alias("config_id"), "check_type")
+    return not_in(entries, "config_id", fx.baseline(spark, sf_dir).where((F.col("config_id") % 3) == 0).select("config_id"))
+
+
 def current_snapshot(spark, sf_dir):
     entries = parse_registry(fx.registry(spark, sf_dir))
     return snapshot(fx.live_columns(spark, sf_dir), entries, case=SNAPSHOT_CASE)
 
 
 def current_snapshot_case(spark, sf_dir):
-    entries = parse_registry(fx.registry(spark, sf_dir))
-    return snapshot(fx.live_columns(spark, sf_dir), entries, case="lower", source_case=CONNECTOR_CASE)
+    """Two connectors, each matched by its own case rule."""
+    entries = parse_registry(fx.registry_two(spark, sf_dir))
+    return snapshot(fx.live_columns_two(spark, sf_dir), entries, case="exact", source_case=CONNECTOR_CASE)
 
 
 def stored_snapshot(spark, sf_dir):
@@ -196,6 +205,7 @@ QUERIES: dict[str, Query] = {
     "registry_parsed": registry_parsed,
     "due_entries": due_entries_q,
     "due_entries_null_aware": due_entries_null_aware,
+    "due_entries_null_left": due_entries_null_left,
     "current_snapshot": current_snapshot,
     "current_snapshot_case": current_snapshot_case,
     "stored_snapshot": stored_snapshot,

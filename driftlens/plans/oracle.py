@@ -48,6 +48,15 @@ SELECT 'TPCH' AS table_catalog, 'PUBLIC' AS table_schema,
  CASE WHEN l_linenumber % 2 = 0 THEN cast(l_linenumber * 10 AS int) END AS character_maximum_length,
  cast(l_linenumber AS string) AS ordinal_position
 FROM lineitem""",
+    "registry_two": """
+SELECT * REPLACE (CASE WHEN config_id % 3 = 0 THEN replace(table_name, 'Redshift_Dev:', 'Postgres_Dev:') ELSE table_name END AS table_name) FROM registry""",
+    "live_columns_two": """
+SELECT *, 'redshift_dev' AS source FROM live_columns
+UNION ALL
+SELECT lower(table_catalog), lower(table_schema), lower(table_name), lower(column_name),
+ CASE data_type WHEN 'INTEGER' THEN 'int4' ELSE lower(data_type) END, is_nullable, character_maximum_length, ordinal_position, 'postgres_dev' FROM live_columns
+UNION ALL
+SELECT * REPLACE ('quoted' AS data_type), 'postgres_dev' FROM live_columns""",
     "state": """
 SELECT 'schema' AS check_type, TIMESTAMP '1998-01-01 00:00:00' AS updated_at
 UNION ALL SELECT 'distribution', TIMESTAMP '1997-01-01 00:00:00'""",
@@ -99,7 +108,7 @@ SELECT d.config_id, d.column_name, d.data_type, d.data_type_old, d.ordinal_posit
 FROM detected d"""
 
 # CTE dependencies, in definition order.
-_ORDER = ["baseline", "cur", "baseline_nulls", "cur_nulls", "registry", "live_columns", "state", "detected", "anomalies"]
+_ORDER = ["baseline", "cur", "baseline_nulls", "cur_nulls", "registry", "live_columns", "registry_two", "live_columns_two", "state", "detected", "anomalies"]
 
 
 def with_views(sql: str) -> str:
@@ -197,9 +206,20 @@ WHERE check_type = 'schema' AND updated_at > (SELECT updated_at FROM state WHERE
     "due_entries_null_aware": """
 SELECT config_id FROM registry WHERE check_type = 'schema'
  AND config_id NOT IN (SELECT CASE WHEN config_id % 1000 = 7 THEN NULL ELSE config_id END FROM baseline)""",
+    "due_entries_null_left": """
+SELECT config_id, check_type FROM (SELECT CASE WHEN config_id % 7 <> 0 THEN config_id END AS config_id, check_type FROM registry)
+WHERE config_id NOT IN (SELECT config_id FROM baseline WHERE config_id % 3 = 0)""",
     "current_snapshot": _CURRENT_SNAPSHOT,
-    # per-connector case rule; the fixture's only connector folds to upper
-    "current_snapshot_case": _CURRENT_SNAPSHOT,
+    # per-connector case rule: one folds to upper, the other to lower
+    "current_snapshot_case": """
+SELECT DISTINCT r.config_id,
+ concat(c.source, ':', lower(c.table_catalog), '.', lower(c.table_schema), '.', lower(c.table_name)) AS table_name,
+ lower(c.column_name) AS column_name, lower(c.data_type) AS data_type, lower(c.is_nullable) AS is_nullable,
+ coalesce(c.character_maximum_length, 0) AS character_maximum_length, cast(c.ordinal_position AS int) AS ordinal_position
+FROM registry_two r JOIN live_columns_two c ON c.source = lower(split_part(r.table_name, ':', 1))
+ AND concat(c.table_catalog, '.', c.table_schema, '.', c.table_name)
+  = CASE c.source WHEN 'redshift_dev' THEN upper(split_part(r.table_name, ':', 2)) ELSE lower(split_part(r.table_name, ':', 2)) END
+WHERE r.check_type = 'schema'""",
     "stored_snapshot": """
 SELECT r.config_id, lower(b.table_name) AS table_name, b.column_name, b.data_type
 FROM registry r JOIN baseline b ON lower(r.table_name) = lower(b.table_name) WHERE r.check_type = 'schema'""",

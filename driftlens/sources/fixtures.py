@@ -151,6 +151,26 @@ def live_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def registry_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry over two connectors: every third entry is of a source that
+    folds unquoted names to lower case, the others of one that folds to upper."""
+    return registry(spark, sf_dir).withColumn(
+        "table_name", F.when((F.col("config_id") % 3) == 0, F.replace("table_name", F.lit("Redshift_Dev:"), F.lit("Postgres_Dev:"))).otherwise(F.col("table_name"))
+    )
+
+
+def live_columns_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """information_schema.columns of both sources, tagged with ``source``. The
+    lower-case source has each table twice, by its own rule and as a quoted
+    upper-case table that no entry names; it calls integers ``int4``."""
+    up = live_columns(spark, sf_dir)
+    lower = [F.lower(c).alias(c) for c in ("table_catalog", "table_schema", "table_name", "column_name")]
+    rest = ["is_nullable", "character_maximum_length", "ordinal_position"]
+    low = up.select(*lower, F.when(F.col("data_type") == "INTEGER", "int4").otherwise(F.lower("data_type")).alias("data_type"), *rest)
+    quoted = up.withColumn("data_type", F.lit("quoted"))
+    return up.withColumn("source", F.lit("redshift_dev")).unionByName(low.unionByName(quoted).withColumn("source", F.lit("postgres_dev")))
+
+
 def state(spark: SparkSession) -> DataFrame:
     """master_config_status: one high-water mark per check type."""
     rows = spark.createDataFrame(

@@ -50,3 +50,8 @@ def append(df: DataFrame, conn: Connector, table: str, batchsize: int = 10_000,
 def sql_literal(value: str) -> str:
     """A quoted SQL string literal (single quotes doubled)."""
     return "'" + str(value).replace("'", "''") + "'"
+
+
+def sql_identifier(name: str) -> str:
+    """A quoted SQL identifier (double quotes doubled)."""
+    return '"' + str(name).replace('"', '""') + '"'

@@ -53,13 +53,13 @@ def test_stored_like_and_eq(spark):
 def test_candidates_follow_matches_when_names_share_long_prefixes(spark):
     """Wildcard entries of one connector: candidates are the matches, not
     names x patterns."""
-    from driftlens.functions.like import literal_lengths, name_keys, pattern_keys
+    from driftlens.functions.like import kinds, name_keys, pattern_keys
 
     for schemas in (20, 40):
         names = spark.range(schemas * 50).selectExpr(f"concat('snowflake:cat.s', id % {schemas}, '.t', id) as _name")
         pats = spark.range(schemas).selectExpr("concat('snowflake:cat.s', id, '.%') as _pattern")
-        keys = name_keys(names, literal_lengths(pats), grams=False)
-        candidates = pattern_keys(pats, grams=False).join(keys, "_k").count()
+        keys = name_keys(names, kinds(pats))
+        candidates = pattern_keys(pats).join(keys, "_k").count()
         assert candidates == schemas * 50
 
 
@@ -70,3 +70,16 @@ def test_escape_of_a_plain_character(spark):
     right = spark.createDataFrame([("abcd",), ("a_c",), ("abc",), ("xyz",), ("a\\b",)], "n string")
     got = {(r["p"], r["n"]) for r in like_join(left, "p", right, "n").collect()}
     assert got == {("a\\bcd", "abcd"), ("a\\_c", "a_c"), ("x%", "xyz"), ("a\\\\b", "a\\b")}
+
+
+def test_a_pattern_of_another_shape_changes_no_other_keys(spark):
+    from driftlens.functions.like import kinds, name_keys, pattern_keys
+
+    pats = spark.createDataFrame([("a.b_%",), ("%_z",), ("___",), ("x_y",)], "_pattern string")
+    more = pats.unionByName(spark.createDataFrame([("%abc%",), ("%",)], "_pattern string"))
+    names = spark.createDataFrame([("a.bcd",), ("xaby",), ("abz",), ("x1y",)], "_name string")
+    before, after = (Counter((r[0], r[1]) for r in pattern_keys(p).collect()) for p in (pats, more))
+    assert before == Counter({k: n for k, n in after.items() if k[0] not in ("%abc%", "%")})
+    few, all_ = (Counter((r[0], r[1]) for r in name_keys(names, kinds(p)).collect()) for p in (pats, more))
+    assert not few - all_
+    assert kinds(more) == sorted([("P", 3), ("S", 1), ("L", 0), ("P", 1), ("G", 3), ("A", 0)])

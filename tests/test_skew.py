@@ -129,8 +129,8 @@ def test_like_join_with_one_key_shared_by_every_name(spark):
         rows = got.collect()
         got_bag = Counter((r["name"], r["pid"]) for r in rows)
         plan = _executed_plan(got)
-    # no pattern needs 3-grams, so the wanted keys are broadcast under a checked
-    # bound and the candidate join on the key is split where one key is hot
+    # both inputs of the candidate join are plain shuffles, so it is split where
+    # one key is hot; nothing is hinted
     candidate_join = re.search(r"SortMergeJoin(\(skew=true\))? \[_k#\d+L\], \[_k#\d+L\], Inner, _name#\d+ LIKE", plan)
     assert candidate_join and candidate_join.group(1), plan
     ns = [r["name"] for r in names.collect()]
