@@ -36,15 +36,18 @@ def read_table(spark: SparkSession, conn: Connector, table: str) -> DataFrame:
     return spark.read.format("jdbc").options(**conn.jdbc_options()).option("dbtable", table).load()
 
 
-def append(df: DataFrame, conn: Connector, table: str, batchsize: int = 10_000, create_column_types: str | None = None) -> None:
-    """Append rows to a table, one connection per partition.
+def append(
+    df: DataFrame, conn: Connector, table: str, batchsize: int = 10_000, create_column_types: str | None = None, mode: str = "append"
+) -> None:
+    """Append rows to a table, one connection per partition; ``mode="overwrite"``
+    replaces it.
 
     ``create_column_types`` sets column types should the table be created.
     """
     w = df.write.format("jdbc").options(**conn.jdbc_options()).option("dbtable", table).option("batchsize", str(batchsize))
     if create_column_types:
         w = w.option("createTableColumnTypes", create_column_types)
-    w.mode("append").save()
+    w.mode(mode).save()
 
 
 def sql_literal(value: str) -> str:
