@@ -205,11 +205,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = MAX_BITS)
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group, that with the smallest id, with all its
-    columns. Rows without an id stay; of rows that repeat an id one stays."""
+    columns. Rows without an id stay, and so do rows of the smallest id that
+    differ in text; of rows alike in id and text one stays. An empty table
+    stays empty."""
     found = near_duplicates(docs.select("doc_id", "text"))
     later = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("c")).where("c < doc_id").select("doc_id")
-    kept = docs.join(later, "doc_id", "left_anti").withColumn("_text_hash", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).select(*docs.columns)
+    kept = docs.join(later, "doc_id", "left_anti").withColumn("__llm_text_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return kept.dropDuplicates(["doc_id", "__llm_text_hash"]).select(*docs.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -277,6 +277,68 @@ def test_source_full_of_junk_does_not_raise_its_own_limits(spark):
     assert [got[i]["kept"] for i in range(len(given))] == [t == clean for _, _, t in given]
 
 
+def test_limits_differ_by_group_and_equal_the_sql(spark, tmp_path):
+    """Languages with words of other lengths, a source of which 40 % is symbol
+    junk, groups too small for a say, nulls, texts that fail the base rules."""
+    from oracle_compare import compare, duck
+
+    rnd = random.Random(12)
+
+    def text(sizes, n=60):
+        return " ".join("".join(rnd.choice("abcdefghij") for _ in range(rnd.choice(sizes))) for _ in range(n))
+
+    given = [("en", "a", text((3, 4, 5))) for _ in range(400)] + [("de", "b", text((7, 8, 9))) for _ in range(300)]
+    given += [("en", "c", text((3, 4, 5)) + " #$%&" * (rnd.randrange(5, 20) if i % 5 < 2 else 0)) for i in range(300)]
+    given += [("de", "b", text((3, 4, 5))) for _ in range(3)] + [("en", "a", text((20, 30))), ("fr", None, text((4, 5))), (None, None, text((3, 4))), (None, "a", None), ("en", "a", "few words"), ("fr", "d", "")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(given)], "doc_id long, lang string, source string, text string")
+    df.toPandas().to_parquet(tmp_path / "documents.parquet")
+    out = compare(spark, duck(str(tmp_path)), "op10", quality_rules.query, quality_rules.ORACLE, str(tmp_path))
+    assert out["columns_match"] and out["values_match"] and out["spark_rows"] == len(given), out
+    limits = {(r["lang"], r["source"]): r for r in quality_rules.thresholds(quality_rules.sketch(quality_rules.measure(df))).collect()}
+    assert limits["en", "a"]["max_word_length"] < limits["de", "b"]["min_word_length"]
+    assert limits["en", "c"]["max_symbols"] == limits["en", "a"]["max_symbols"]  # the junk does not raise its source's
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(df, ["doc_id"]).collect()}
+    assert all(kept[i] == ("#" not in given[i][2]) for i in range(1000)) and not any(kept[i] for i in range(1000, 1004))
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark):
+    df = spark.createDataFrame([(1, "alpha beta gamma delta"), (1, "one two three four five six"), (1, "alpha beta gamma delta"), (2, "alpha beta gamma delta")], "doc_id long, text string")
+    df = df.selectExpr("*", "'mine' as text_hash", "'own' as _text_hash")
+    kept = simhash.keep_first(df).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(1, "alpha beta gamma delta"), (1, "one two three four five six")]
+    assert {(r["text_hash"], r["_text_hash"]) for r in kept} == {("mine", "own")}
+    rules = df.selectExpr("doc_id", "concat(text, ' ', repeat('several words of text ', 1), array_join(transform(sequence(1, 40), x -> concat('w', x)), ' ')) as text", "'en' as lang", "'s' as source", "text_hash")
+    assert {r["text_hash"] for r in quality_rules.keep(rules).collect()} == {"mine"}
+
+
+def test_pipeline_filters_keep_what_the_operators_say(spark, small):
+    """The first and third stage against the operators' own proofs: the rules'
+    SQL, and the components of plainly computed links."""
+    import corpus_pipeline as P
+    from oracle_compare import duck
+
+    docs = P.table(spark, small, "documents")
+    by_sql = {r[0] for r in duck(small).execute(f"SELECT doc_id FROM ({quality_rules.ORACLE}) WHERE kept").fetchall()}
+    first = P.written(P.rules(spark, docs, small))
+    assert {r["doc_id"] for r in first.collect()} == by_sql
+    second = P.written(P.quality(spark, first, small))
+    fp = {r["doc_id"]: int(r["fingerprint"], 16) for r in simhash.near_duplicates(second).collect()}
+    group = {d: d for d in fp}
+
+    def find(d):
+        while group[d] != d:
+            d = group[d]
+        return d
+
+    ids = sorted(fp)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if bin(fp[a] ^ fp[b]).count("1") <= 2:
+                x, y = sorted((find(a), find(b)))
+                group[y] = x
+    assert sorted(r["doc_id"] for r in P.near_duplicates(spark, second, small).collect()) == sorted({find(d) for d in ids})
+
+
 def test_pipeline(spark, small):
     import corpus_pipeline as P
 
