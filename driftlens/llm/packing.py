@@ -3,7 +3,8 @@
 A pattern is a few piece lengths that fill a sequence. How often each pattern
 is used is fitted to the histogram of lengths by non-negative least squares,
 rounded down so that no pattern takes more pieces than there are, and what the
-patterns leave is packed by best fit on the same histogram. All of this works
+patterns leave is packed by best fit on the same histogram; should best fit
+alone need fewer sequences, its plan is taken. All of this works
 on one count per length, at most ``capacity`` of them however many documents
 there are: that is the only thing that reaches the driver, and the list of
 (length, rank range) -> sequence that comes back is bounded by the patterns.
@@ -16,7 +17,10 @@ the cells' first ranks are running sums over the small table of cells.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,29 +28,93 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftlens.llm.bpe import encoder
+from driftlens.llm.bpe import Vocabulary, library
 from driftlens.llm.common import checkpoint, values
 
 CAPACITY = 2048
-#: Entries of a worker's word table.
-TABLE_WORDS = 120_000
+#: Entries of a worker's tables of units and of words; when one is full, a new
+#: one is begun. Longer ones stay out.
+TABLE_WORDS, TABLE_CHARS = 120_000, 64
 #: Lengths are fitted in steps of capacity / BINS for patterns of three and more.
 BINS = 64
 #: Pieces in a cell of one length, on average, at most.
 CELL_ROWS = 1_000
 
 
+class _Words(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes, each worked out once
+    by the library's model."""
+
+    def __init__(self, vocab: Vocabulary, most: int):
+        super().__init__()
+        self.model, self.most = library(vocab.path).model, most
+        self.spelt = str.maketrans(dict(enumerate(vocab.chars)))
+
+    def __missing__(self, word: str) -> bytes:
+        spelt = word.encode().decode("latin-1").translate(self.spelt)
+        return self.keep(word, array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes())
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        if len(word) <= TABLE_CHARS:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+class _Units(_Words):
+    """The same of runs without white space, from the ids of their words."""
+
+    def __init__(self, vocab: Vocabulary, most: int):
+        super().__init__(vocab, most)
+        self.words, self.split = _Words(vocab, most), vocab.split
+
+    def __missing__(self, unit: str) -> bytes:
+        if unit.isalpha():  # one word
+            return self.keep(unit, self.words[unit])
+        return self.keep(unit, b"".join(map(self.words.__getitem__, self.split.findall(unit))))
+
+
+class _Sure(dict):
+    """Whether a character's lower case and kind are the same in every Unicode
+    version and wherever it stands; kept by character."""
+
+    def __missing__(self, c: str) -> bool:
+        self[c] = sure = c != "\u03a3" and not "\x1c" <= c <= "\x1f" and unicodedata.category(c) != "Cn"
+        return sure
+
+
+class Encoder:
+    """Whole texts to ids as bytes; texts with a special token or an unsure
+    character go to the library whole."""
+
+    def __init__(self, path: str, table_words: int = TABLE_WORDS):
+        self.vocab = Vocabulary(path, merges=False)
+        self.units, self.sure = _Units(self.vocab, table_words), _Sure()
+
+    def __call__(self, text: str) -> bytes:
+        if any(s in text for s in self.vocab.special) or not all(map(self.sure.__getitem__, set(text))):
+            return array("I", library(self.vocab.path).encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.units.__getitem__, unicodedata.normalize("NFC", text).lower().split()))
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One a Python worker, so that its tables outlive a task."""
+    return Encoder(path)
+
+
 def cut(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of at most ``capacity`` ids: each text's ids, then id 0. Null
     text is empty and gives one piece of length 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path, False, TABLE_WORDS)
+        encode = encoder(path)
         for batch in batches:
             ids, piece, start, length, crc = [], [], [], [], []
             keys = batch.column(0).to_pylist()
-            for key, (packed, _) in zip(keys, enc.encode_batch(values(batch, 1), False)):
-                packed += b"\0\0\0\0"
+            for key, text in zip(keys, values(batch, 1)):
+                packed = encode(text or "") + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(packed), 4 * capacity)):
                     part = packed[at : at + 4 * capacity]
                     ids.append(key)
@@ -120,7 +188,9 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such sequences) that use up the histogram."""
+    """(lengths of a sequence, how many such sequences) that use up the
+    histogram: the fitted patterns and best fit for what they leave, or best fit
+    alone if that needs fewer sequences."""
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for n, k in histogram.items():
         counts[n] = k
@@ -134,8 +204,9 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS)
             counts[at] -= times * n
 
     take((capacity,), int(counts[capacity]))
+    plain = out + best_fit(counts.copy(), capacity)
     step = capacity // bins
-    if step > 0 and counts.sum() >= capacity:
+    if step > 0:
         # a pattern in bins stands for exact lengths: each bin's fitted pieces
         # are dealt from its lengths, and the last piece takes what is left
         coarse = np.zeros(bins + 1)
@@ -146,7 +217,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS)
             if fitted[i]:
                 _deal(patterns[i], int(fitted[i]), counts, step, capacity, take)
     out += best_fit(counts, capacity)
-    return out
+    return min(out, alone, key=lambda sequences: sum(times for _, times in sequences))
 
 
 def _deal(pattern: tuple[int, ...], times: int, counts: np.ndarray, step: int, capacity: int, take) -> None:

@@ -67,6 +67,15 @@ def check_packing(df, docs, tok, capacity):
             assert offset == at
             at += length
         assert at <= capacity
+    texts = collections.defaultdict(list)
+    for r in docs.collect():
+        texts[r["doc_id"]].append(r["text"])
+    for doc_id, (text, *more) in texts.items():
+        if more:
+            continue  # rows that repeat an id: counted below
+        ids = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
+        want = [(k, at, len(ids[at : at + capacity]), zlib.crc32(np.array(ids[at : at + capacity], "<u4").tobytes())) for k, at in enumerate(range(0, len(ids), capacity))]
+        assert sorted((r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in per_doc[doc_id]) == want
     total = sum(length for parts in fill.values() for _, length in parts)
     assert total == sum(len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for (t,) in docs.select("text").collect())
     return len(fill), -(-total // capacity)
@@ -80,6 +89,25 @@ def test_packing_is_gapless_and_near_the_bound(spark, small, odd_docs, no_docs,
     assert packing.pack(no_docs, vocab).count() == 0
 
 
+def test_packing_encodes_as_the_library(vocab):
+    encode, tok, rnd = packing.Encoder(vocab, table_words=40), bpe.library(vocab), random.Random(8)
+    pool = " \t\n\r\x1c\x85\xa0''sstrelvmd aAbBéÉ½²ⅧΣσςİǅ中日ん__-!?.#😀ẞﬁe\u0301123"
+    for _ in range(4000):
+        text = "".join(rnd.choice(pool) if rnd.random() < 0.95 else chr(rnd.choice([rnd.randrange(0xD800), rnd.randrange(0xE000, 0x110000)])) for _ in range(rnd.randrange(1, 30)))
+        assert np.frombuffer(encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+    for text in ("", "<|endoftext|> x", "y" * 3000, "word, " * 500):
+        assert np.frombuffer(encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fit_needs_no_more_sequences_than_best_fit(seed):
+    rng = np.random.default_rng(seed)
+    counts = np.bincount(np.clip(rng.lognormal(5.5, 1.1, (50, 3000, 20_000)[seed]).astype(int), 1, 2048), minlength=2049)
+    histogram = {n: int(k) for n, k in enumerate(counts) if k}
+    best = sum(t for _, t in packing.best_fit(counts.copy(), 2048))
+    assert sum(t for _, t in packing.plan(histogram)) <= best
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_uses_up_any_histogram(seed):
     rnd = random.Random(seed)
