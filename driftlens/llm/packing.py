@@ -204,7 +204,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS)
             counts[at] -= times * n
 
     take((capacity,), int(counts[capacity]))
-    plain = out + best_fit(counts.copy(), capacity)
+    alone = out + best_fit(counts.copy(), capacity)
     step = capacity // bins
     if step > 0:
         # a pattern in bins stands for exact lengths: each bin's fitted pieces
