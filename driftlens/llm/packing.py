@@ -33,8 +33,9 @@ from driftlens.llm.common import checkpoint, values
 
 CAPACITY = 2048
 #: Entries of a worker's tables of units and of words; when one is full, a new
-#: one is begun. Longer ones stay out.
-TABLE_WORDS, TABLE_CHARS = 120_000, 64
+#: one is begun, to which words that come again are carried over. Longer ones
+#: stay out.
+TABLE_WORDS, TABLE_CHARS = 250_000, 64
 #: Lengths are fitted in steps of capacity / BINS for patterns of three and more.
 BINS = 64
 #: Pieces in a cell of one length, on average, at most.
@@ -48,15 +49,20 @@ class _Words(dict):
     def __init__(self, vocab: Vocabulary, most: int):
         super().__init__()
         self.model, self.most = library(vocab.path).model, most
+        self.older: dict[str, bytes] = {}
         self.spelt = str.maketrans(dict(enumerate(vocab.chars)))
 
-    def __missing__(self, word: str) -> bytes:
+    def work_out(self, word: str) -> bytes:
         spelt = word.encode().decode("latin-1").translate(self.spelt)
-        return self.keep(word, array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes())
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
 
-    def keep(self, word: str, ids: bytes) -> bytes:
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.work_out(word)
         if len(word) <= TABLE_CHARS:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -69,10 +75,10 @@ class _Units(_Words):
         super().__init__(vocab, most)
         self.words, self.split = _Words(vocab, most), vocab.split
 
-    def __missing__(self, unit: str) -> bytes:
+    def work_out(self, unit: str) -> bytes:
         if unit.isalpha():  # one word
-            return self.keep(unit, self.words[unit])
-        return self.keep(unit, b"".join(map(self.words.__getitem__, self.split.findall(unit))))
+            return super().work_out(unit)
+        return b"".join(map(self.words.__getitem__, self.split.findall(unit)))
 
 
 class _Sure(dict):
