@@ -1,5 +1,7 @@
 """Operators on pages, and every SQL oracle on small data."""
 
+import time
+
 import pytest
 from oracle_compare import compare, duck
 
@@ -69,3 +71,36 @@ def test_warc_round_trip(spark, tmp_path):
     listed = warc.write(warc.revisits(df.drop("refers_to")), str(tmp_path / "w"), archive_bytes=1000)
     chunks = warc.read(listed, chunk=4096).where("record_id = 'urn:page:6'").orderBy("chunk").collect()
     assert len(chunks) > 10 and max(len(c["data"]) for c in chunks) <= 4096 and b"".join(c["data"] for c in chunks).decode() == big
+
+
+BODY = [f"Paragraph {i} " + "with many words of the text " * 14 + "end." for i in range(3)]
+TEXT = "<h1>Head</h1>" + "".join(f"<p>{b}</p>" for b in BODY)
+STORIES = "".join(f"<li><a href=x>Other story number {i}</a></li>" for i in range(6))
+#: Ways to hold the text; {} is the text, [] furniture inside it.
+HOLDERS = [
+    "<article>{}[]</article>", "<main>{}[]</main>", '<article class="post share-story">{}[]</article>', '<article class="post no-sidebar"><div class=body>{}[]</div></article>',
+    '<form action="/"><article>{}[]</article></form>', '<div class="widget"><main>{}[]</main></div>', '<div id="related-work"><article>{}[]</article></div>', "<main><article>{}[]</article></main>",
+]
+INSIDE = ["", "<div class=ad>Buy now</div>", f"<ul>{STORIES}</ul>", '<div class="comment-list"><p>' + "A reader says a lot. " * 40 + "</p></div>", "<form><p>Your name</p><input></form>", '<section id="newsletter_signup"><p>Join us</p></section>']
+#: Holders of a page without article and main.
+PLAIN_HOLDERS = ["<div>{}</div>", "<div class='post no-sidebar'>{}</div>", "<div class='share-story'>{}</div>", "<form><div>{}</div></form>", "<table><tr><td>{}</td></tr></table>", "<section><div><div>{}</div></div></section>"]
+
+
+@pytest.mark.parametrize("page", [h.replace("{}", TEXT).replace("[]", i) for h in HOLDERS for i in INSIDE] + [h.replace("{}", TEXT) for h in PLAIN_HOLDERS])
+def test_page_shapes(page):
+    page = f"<html><head><title>t</title></head><body><nav><ul><li><a href=x>Menu</a></li></ul></nav><div class=ad>Buy</div>{page}<div class=sidebar>Side</div><footer>Foot</footer></body></html>"
+    assert html.main_text(page).split("\n") == ["Head", *BODY]
+
+
+def test_ratios_decide(monkeypatch):
+    page = f"<body><article>{TEXT}<ul>{STORIES}</ul><div class=ad>Buy now</div></article></body>"
+    assert html.main_text(page).split("\n") == ["Head", *BODY]
+    monkeypatch.setattr(html, "threshold", lambda values: float("-inf"))
+    assert "Other story" in html.main_text(page) and "Buy now" in html.main_text(page)
+
+
+@pytest.mark.parametrize("page", ["<div>x" * 100_000, "<div>x" * 50_000 + "</section>" * 50_000, "<div><p>x" * 50_000])
+def test_deep_pages_take_linear_time(page):
+    start = time.perf_counter()
+    assert html.main_text(page)
+    assert time.perf_counter() - start < 20
