@@ -9,7 +9,8 @@ of the prefix it leaves: a pair of tokens is valid if merging its joined
 symbols gives back that very pair.
 
 Documents are cut into words at white space; words seen before come from a
-bounded table. Only Spark splits the work: every task reads the vocabulary
+bounded table. Words of any length go through the trie. The library normalises
+texts with characters whose lower case is not fixed, and no more. Only Spark splits the work: every task reads the vocabulary
 file, keeps its own table and handles whole texts, one batch of rows at a time.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import re
 import struct
 import sys
@@ -33,8 +35,6 @@ from driftlens.llm.common import values
 TABLE_WORDS = 500_000
 #: Texts are taken in groups of about so many characters.
 GROUP_CHARS = 1_000_000
-#: Longer words are encoded by merging, outside the trie (its depth is bounded).
-TRIE_DEPTH = 64
 
 
 @functools.cache
@@ -50,7 +50,7 @@ def library(path: str):
 @functools.cache
 def _unsure() -> re.Pattern:
     """Characters whose lower case depends on the Unicode version or on what
-    stands beside them: texts that have one are left to the library."""
+    stands beside them: the library normalises texts that have one."""
     spans, start = [], None
     for c in range(sys.maxunicode + 2):
         odd = c <= sys.maxunicode and (c == 0x3A3 or unicodedata.category(chr(c)) == "Cn")
@@ -93,13 +93,14 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.rank: dict[tuple[str, str], int] = {} if not merges else {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
         self.tokens = {i: t for t, i in self.ids.items()} | {a["id"]: a["content"] for a in spec["added_tokens"]}
-        self.special = [a["content"] for a in spec["added_tokens"]]
+        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")" if self.special else "(?!)")
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.chars = _bytes_as_chars()
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.ids)
         self._valid: dict[tuple[str, str], bool] = {}
         self._alone: dict[str, bool] = {}
         self._spines: tuple[dict, dict] = {}, {}
+        self._ending: dict[tuple[str, str], list[str]] = {}
         self.made = {a + b: (a, b) for a, b in reversed(self.rank)}  # the first merge that gives it
 
     def merge(self, symbols: list[str]) -> list[str]:
@@ -132,6 +133,20 @@ class Vocabulary:
             known = self._alone[token] = token in self.ids and self.merge(self.symbols(token)) == [token]
         return known
 
+    @functools.cached_property
+    def heads(self) -> set[str]:
+        """All beginnings of tokens, without the word end."""
+        bodies = [t.removesuffix(self.end) if self.end else t for t in self.ids]
+        return {b[:n] for b in bodies for n in range(len(b) + 1)}
+
+    def ending(self, head: str, suffix: str) -> list[str]:
+        """Tokens made of an end of ``head`` and the suffix, longest first."""
+        known = self._ending.get((head, suffix))
+        if known is None:
+            known = [t for n in range(len(head)) if (t := head[n:] + suffix) in self.ids and self.alone(t)]
+            self._ending[head, suffix] = known
+        return known
+
     def spine(self, token: str, side: int) -> list[tuple[str, int]]:
         """The parts of token that lie at its right (side 1) or left (0) edge,
         largest first, each with the rank of the merge that ends it."""
@@ -168,37 +183,38 @@ def encode_words(vocab: Vocabulary, distinct: Iterable[str]) -> dict[str, list[i
     before it the nodes of their common prefix, whose last tokens stay on the
     stack; only the nodes below are new.
     """
-    chars, ids, end, longest = vocab.chars, vocab.ids, vocab.end, vocab.longest
-    alone, valid = vocab.alone, vocab.valid
+    chars, ids, end, heads = vocab.chars, vocab.ids, vocab.end, vocab.heads
+    ending, valid = vocab.ending, vocab.valid
     spelled = sorted(("".join([chars[b] for b in w.encode()]), w) for w in distinct)
     out: dict[str, list[int]] = {}
     path = ""
     last: list[str] = [""]  # last[d]: last token of path[:d]
+    head: list[str] = [""]  # head[d]: longest end of path[:d] that begins a token
 
-    def last_token(word: str, d: int, suffix: str) -> str:
+    def longest_head(word: str, d: int) -> str:
+        n = len(head[d - 1]) + 1
+        while word[d - n : d] not in heads:
+            n -= 1
+        return word[d - n : d]
+
+    def last_token(word: str, d: int, begun: str, suffix: str) -> str:
         """Last token of word[:d] (with the word end, if suffix says so)."""
-        for n in range(min(d, longest), 0, -1):
-            t = word[d - n : d] + suffix
-            if t in ids and alone(t) and (n == d or valid(last[d - n], t)):
+        for t in ending(begun, suffix):
+            n = len(t) - len(suffix)
+            if n == d or valid(last[d - n], t):
                 return t
         raise ValueError(f"the vocabulary has no symbol for {word[d - 1]!r}")
 
     for word, original in spelled:
-        if len(word) > TRIE_DEPTH:
-            out[original] = [ids[t] for t in vocab.merge(vocab.symbols(word + end))]
-            continue
-        shared = 0
-        for a, b in zip(path, word):
-            if a != b:
-                break
-            shared += 1
-        del last[shared + 1 :]
+        shared = len(os.path.commonprefix((path, word)))
+        del last[shared + 1 :], head[shared + 1 :]
         body = word[:-1] if end else word
         for d in range(len(last), len(body) + 1):
-            last.append(last_token(word, d, ""))
+            head.append(longest_head(word, d))
+            last.append(last_token(word, d, head[d], ""))
         path = word[: len(last) - 1]
         d, tokens = len(word), []
-        t = last_token(word, d, end) if end else last[d]
+        t = last_token(word, d, longest_head(word, d), end) if end else last[d]
         while True:
             tokens.append(ids[t])
             d -= len(t.removesuffix(end)) if d == len(word) and end else len(t)
@@ -226,8 +242,14 @@ class Encoder:
         return " ".join([self.vocab.tokens[i] for i in ids]).encode()
 
     def _learn(self, units: set[str], spell: bool) -> None:
-        """Adds the ids of units (runs without white space) to the table."""
-        parts = {u: self.vocab.split.findall(u) for u in units}
+        """Adds the ids of units to the table: runs without white space, or
+        special tokens, which follow a space so that no run is taken for one."""
+        special = {u for u in units if u[0] == " "}
+        for u in special:
+            self.words[u] = struct.pack("<I", self.vocab.special[u[1:]])
+            if spell:
+                self.spelled[u] = u[1:].encode()
+        parts = {u: self.vocab.split.findall(u) for u in units - special}
         new = {p for ps in parts.values() for p in ps}
         if self.by_trie:
             found = encode_words(self.vocab, new)
@@ -253,28 +275,34 @@ class Encoder:
         yield from self._encode_group(group, spell)
 
     def _encode_group(self, texts: list[str], spell: bool) -> Iterator[tuple[bytes, bytes]]:
-        cut: list[list[str] | None] = []
+        cut: list[list[str]] = []
         for text in texts:
-            if any(s in text for s in self.vocab.special) or _ODD_SPACE.search(text) or self._is_unsure(text):
-                cut.append(None)
+            if any(t in text for t in self.vocab.special) or _ODD_SPACE.search(text) or self._is_unsure(text):
+                cut.append(self._cut_odd(text))
             else:
                 cut.append(unicodedata.normalize("NFC", text).lower().split())
         if len(self.words) > self.table_words:  # only the words that come again are carried over
             self.older, self.words = self.words, {}
             self.older_spelled, self.spelled = self.spelled, {}
-        new = set().union(*filter(None, cut)) - self.words.keys()
+        new = set().union(*cut) - self.words.keys()
         for u in new & self.older.keys():
             self.words[u] = self.older[u]
             if spell:
                 self.spelled[u] = self.older_spelled[u]
         self._learn(new - self.words.keys(), spell)
         word, spelled = self.words.__getitem__, self.spelled.__getitem__
-        for text, units in zip(texts, cut):
-            if units is None:
-                ids = library(self.vocab.path).encode(text, add_special_tokens=False).ids
-                yield struct.pack(f"<{len(ids)}I", *ids), self.text_of(ids) if spell else b""
-            else:
-                yield b"".join(map(word, units)), b" ".join(filter(None, map(spelled, units))) if spell else b""
+        for units in cut:
+            yield b"".join(map(word, units)), b" ".join(filter(None, map(spelled, units))) if spell else b""
+
+    def _cut_odd(self, text: str) -> list[str]:
+        """Units of a text that the library normalises, cut at special tokens."""
+        units: list[str] = []
+        for at, part in enumerate(self.vocab.at_special.split(text)):
+            if at % 2:
+                units.append(" " + part)
+            elif part:
+                units += self.vocab.split.findall(library(self.vocab.path).normalizer.normalize_str(part))
+        return units
 
     @staticmethod
     def _is_unsure(text: str) -> bool:
@@ -300,7 +328,7 @@ def encode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
 
     Null text is the empty text: no ids, the empty decoded text. Null
     ``doc_id``, repeated rows and further columns are no matter: one row out
-    for each row in. with_ids adds ``ids`` (array of int) and ``decoded``.
+    for each row in, none for an empty table. A word's time grows with its length. with_ids adds ``ids`` (array of int) and ``decoded``.
     """
     schema = SCHEMA + (", ids array<int>, decoded string" if with_ids else "")
 
