@@ -1,6 +1,6 @@
 """Operator 7: URL filter by a weighted vocabulary and by host and path rules.
 
-One pass of an Aho-Corasick automaton over host and path finds every term; a find
+One pass of an Aho-Corasick automaton over the whole URL finds every term; a find
 counts if no letter or digit stands beside it. One strict term rejects, and so
 do ``soft_hits`` distinct soft ones. A rule that fits the host and path decides
 before the vocabulary, the longest rule first.
@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftlens.llm.common import values
+
 #: (pattern, verdict): domain, then the start of the path.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: One of these rejects a URL.
@@ -52,10 +54,9 @@ def rule(host_: Column, path_: Column, rules=RULES) -> Column:
 
 def count_terms(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
     """Adds ``strict_hits`` and ``soft_hits``, the distinct terms of each kind
-    in the host and path, to the columns of ``urls``. Queries and fragments
-    hold any words and are not searched."""
+    in the whole ``url`` (null: none), to the columns of ``urls``."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema) + ", strict_hits int, soft_hits int"
-    hosts, paths = urls.columns.index("host"), urls.columns.index("path")
+    at = urls.columns.index("url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import ahocorasick
@@ -66,8 +67,8 @@ def count_terms(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
         automaton.make_automaton()
         for batch in batches:
             hard, mild = [], []
-            for host_, path_ in zip(batch.column(hosts).to_pylist(), batch.column(paths).to_pylist()):
-                text, found = (host_ + path_).lower(), set()
+            for url in values(batch, at):
+                text, found = (url or "").lower(), set()
                 for last, (term, is_strict) in automaton.iter(text):
                     first = last - len(term) + 1
                     if not (first and text[first - 1].isalnum()) and not text[last + 1 : last + 2].isalnum():
@@ -83,10 +84,12 @@ def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: in
     """One row per page: page_id, host, path, rule, verdict, strict_hits, soft_hits.
 
     A null URL or one without ``://`` has an empty host and path and no rule;
-    a null one has no terms either and is allowed. Repeated rows and null ids
-    are judged like others; further columns are not looked at.
+    the terms of one without ``://`` count, a null or empty one has none and is
+    allowed. Repeated rows and null ids are judged like others, URLs of any
+    length are read whole, further columns are not looked at, and an empty
+    table gives no rows.
     """
-    parsed = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
+    parsed = pages.select("page_id", "url", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     ruled = count_terms(parsed, strict, soft).withColumn("rule", rule(F.col("host"), F.col("path"), rules))
     verdict = F.lit(None).cast("string")
     for pattern, says in rules:
@@ -97,7 +100,7 @@ def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_hits: in
 
 def oracle_sql(rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS) -> str:
     def hit(term: str) -> str:
-        return f"CAST(regexp_matches(lower(host || path), '(^|[^\\pL\\pN]){term}([^\\pL\\pN]|$)') AS INT)"
+        return f"CAST(regexp_matches(lower(coalesce(url, '')), '(^|[^\\pL\\pN]){term}([^\\pL\\pN]|$)') AS INT)"
 
     def fits(pattern: str) -> str:
         domain, slash, start = pattern.partition("/")
@@ -106,7 +109,7 @@ def oracle_sql(rules=RULES, strict=STRICT, soft=SOFT, soft_hits: int = SOFT_HITS
     longest = sorted(rules, key=lambda r: (-len(r[0]), r[0]))
     return f"""
     WITH r AS (SELECT page_id, url, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-    p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+    p AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
     c AS (SELECT *, CAST({" + ".join(map(hit, strict))} AS INT) AS strict_hits, CAST({" + ".join(map(hit, soft))} AS INT) AS soft_hits FROM p)
     SELECT page_id, host, path, CASE {" ".join(f"WHEN {fits(p)} THEN '{p}'" for p, _ in longest)} END AS rule,

@@ -51,13 +51,16 @@ def test_extract_rows(spark):
 
 
 def test_urls(spark):
-    given = [None, "no scheme", "http://X.Example.NET/en/a", "https://b.net/x", "https://net", "http://example.com/de/?q", "http://a.org/fr/", "http://casino-win.org/", "http://casinos1.org", "http://free.org/bets?x", "http://a.com/free?bets"]
-    df = spark.createDataFrame(list(enumerate(given)), "page_id long, url string").selectExpr("*", "'z' as host", "'z' as rule")
+    given = [None, "no scheme", "http://X.Example.NET/en/a", "https://b.net/x", "https://net", "http://example.com/de/?q", "http://a.org/fr/", "http://casino-win.org/", "http://casinos1.org", "http://free.org/bets?x", "http://a.com/free?bets", "www.casino-porn.com/x", "http://a.com/?q=viagra", "http://a.com/#porno", "http://a.com/" + "y/" * 50_000 + "xxx", ""]
+    df = spark.createDataFrame([*enumerate(given), (None, "http://casino.org/"), (None, None), (7, given[7])], "page_id long, url string").selectExpr("*", "'z' as host", "'z' as rule")
+    assert urls.judge(df).count() == len(given) + 3 and urls.judge(df.where("1 = 0")).count() == 0
+    assert [r["verdict"] for r in urls.judge(df.where("page_id is null")).orderBy("host").collect()] == ["allow", "block"]
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge(df).collect()}
     assert got[0] == got[1] == ("", "", None, "allow")
     assert got[2] == ("x.example.net", "/en/a", "example.net/en/", "allow") and got[3][2:] == ("net/", "block") and got[4] == ("net", "", None, "allow")
     assert got[5][2:] == ("example.com/de/", "block") and got[6][2:] == ("org/fr/", "allow")
-    assert [got[i][3] for i in (7, 8, 9, 10)] == ["block", "allow", "block", "allow"]
+    assert [got[i][3] for i in (7, 8, 9, 10)] == ["block", "allow", "block", "block"]
+    assert got[11] == ("", "", None, "block") and [got[i][3] for i in (12, 13, 14, 15)] == ["block", "block", "block", "allow"]
 
 
 def test_warc_round_trip(spark, tmp_path):
