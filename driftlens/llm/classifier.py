@@ -113,19 +113,23 @@ def calibrate(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
 
 def fit(rows: list[np.ndarray], y: np.ndarray, sizes: tuple[int, int]) -> np.ndarray:
     """Weights per feature, of the constant, then slope and offset; sizes: of
-    the classes 0 and 1 among all labelled rows. With fewer than five rows of
-    a class the score is the smoothed share of class 1."""
+    the classes 0 and 1 among all labelled rows. A fifth of each class's rows
+    calibrate what the others teach; a class's only row does both. If a class
+    has no row, there is nothing to tell apart: the score is the smoothed share
+    of class 1."""
     out = np.zeros(DIM + 3)
     share = (sizes[1] + 1) / (sum(sizes) + 2)
-    if min((y == 0).sum(), (y == 1).sum()) < 5:
+    if not (y == 0).any() or not (y == 1).any():
         out[-2:] = 1.0, np.log(share / (1 - share))
         return out
-    aside = np.zeros(len(y), bool)
+    aside, learnt = np.zeros(len(y), bool), np.ones(len(y), bool)
     for label in (0, 1):
-        aside[np.flatnonzero(y == label)[::5]] = True
-    train = [x for x, a in zip(rows, aside) if not a]
-    ratio = log_count_ratio(train, y[~aside])
-    w = coordinate_descent(train, ratio, y[~aside])
+        of = np.flatnonzero(y == label)
+        aside[of[::5]] = True
+        learnt[of[::5]] = len(of) == 1
+    train = [x for x, use in zip(rows, learnt) if use]
+    ratio = log_count_ratio(train, y[learnt])
+    w = coordinate_descent(train, ratio, y[learnt])
     out[:DIM], out[DIM] = w[:DIM] * ratio, w[DIM]
     taken = np.array([(y == 0).sum(), (y == 1).sum()])
     weight = (np.array(sizes) / taken)[y.astype(int)]
@@ -192,7 +196,8 @@ def score(docs: DataFrame, model: np.ndarray, name: str = "score") -> DataFrame:
 def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``. A null id
     is not held out; repeated rows are scored alike; further columns are not
-    looked at; without labels every score is 0.5."""
+    looked at; without labels every score is 0.5, with labels of one class the
+    smoothed share of class 1; an empty table gives no rows."""
     texts = docs.select("doc_id", "text")
     scored = score(texts, train(docs, labels))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
@@ -200,7 +205,10 @@ def predict(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame, corpus: DataFrame) -> DataFrame:
     """The rows of ``docs`` predicted to be of class 1, with all their columns;
-    learnt from ``corpus``, which also has what earlier stages removed."""
+    learnt from ``corpus``, which also has what earlier stages removed. Null and
+    empty texts are scored by the constant alone; repeated rows are scored alike
+    and all kept or not; further columns come back as they are; an empty table
+    gives none."""
     return score(docs, train(corpus, labels), "__llm_score").where(F.col("__llm_score") >= CUT).select(*docs.columns)
 
 

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -56,6 +57,20 @@ def test_trie_equals_plain_merging_and_table_turns_over(vocab):
 # --- op2 -----------------------------------------------------------------
 
 
+def test_long_words_and_odd_texts_equal_the_library(vocab):
+    tok, enc, plain, rnd = bpe.library(vocab), bpe.Encoder(vocab), bpe.Encoder(vocab, False), random.Random(5)
+    pieces = [*"abcXYZ 'st\t\n\x1c\x1f\x85\u3000\xa0ΣςσİßÉé\u0378\u0301日本語12!?<|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "'s", "'ll", "ΑΣ"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randrange(30))) for _ in range(1500)]
+    texts += ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=100_000)), "a" * 100_000, "日本" * 30_000, "a" * 100_000 + "b"]
+    start = time.perf_counter()
+    got = list(enc.encode_batch(texts, True))
+    assert time.perf_counter() - start < 30  # merging such words plainly takes minutes
+    for text, (packed, decoded), (other, _) in zip(texts, got, plain.encode_batch(texts, True)):
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert packed == other == struct.pack(f"<{len(ids)}I", *ids)
+        assert decoded.decode() == tok.decode(ids, skip_special_tokens=False)
+
+
 def check_packing(df, docs, tok, capacity):
     per_doc, fill = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows(df):
@@ -255,6 +270,41 @@ def test_classifier_on_held_out_rows(spark, small, odd_docs, no_docs):
     assert classifier.predict(no_docs, labels).count() == 0
 
 
+def test_descent_equals_a_plain_dual_solver():
+    rnd = np.random.default_rng(4)
+    rows = [np.unique(rnd.integers(0, 40, 12)) + (0 if label else 20) for label in range(2) for _ in range(15)]
+    y = np.repeat([0.0, 1.0], 15)
+    ratio = classifier.log_count_ratio(rows, y)
+    counts = [collections.Counter(f for x, label in zip(rows, y) if label == k for f in x) for k in (0, 1)]
+    total = [sum(c.values()) + classifier.SMOOTHING * classifier.DIM for c in counts]
+    for f in range(60):
+        p, q = ((counts[k][f] + classifier.SMOOTHING) / total[k] for k in (1, 0))
+        assert abs(ratio[f] - np.log(p / q)) < 1e-9
+    w = classifier.coordinate_descent(rows, ratio, y, epochs=3000, cost=0.7)
+    x = np.zeros((30, 61))
+    for i, found in enumerate(rows):
+        x[i, found] = ratio[found] / np.sqrt(len(found))
+    x[:, 60] = 1
+    x *= np.where(y > 0, 1.0, -1.0)[:, None]
+    gram, alpha = x @ x.T, np.zeros(30)
+    step = 1 / np.linalg.eigvalsh(gram).max()
+    for _ in range(60_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, 0.7)
+    plain = x.T @ alpha
+    assert np.abs(np.append(w[:60], w[classifier.DIM]) - plain).max() < 0.02 and not w[60 : classifier.DIM].any()
+
+
+@pytest.mark.parametrize("few", [1, 2, 4])
+def test_classifier_learns_from_few_rows_of_a_class(few):
+    good, bad = np.arange(0, 30), np.arange(30, 60)
+    rows = [good] * 20 + [bad] * few
+    y = np.array([1.0] * 20 + [0.0] * few)
+    model = classifier.fit(rows, y, (few, 20))
+    scores = classifier.sigmoid(model[-2] * classifier.margins([good, bad], model) + model[-1])
+    assert scores[0] > scores[1]
+    assert len(set(classifier.fit(rows[:20], y[:20], (0, 20))[: classifier.DIM])) == 1
+
+
 def test_classifier_learns_from_labelled_rows_of_the_corpus_only(spark):
     rnd = random.Random(9)
     texts = [" ".join(rnd.choice(("alpha", "beta", "gamma") if i % 2 else ("$$$", "###", "zzz")) for _ in range(30)) for i in range(60)]
