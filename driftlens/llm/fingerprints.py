@@ -19,12 +19,13 @@ Only built-in column functions are used.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftlens.llm.common import table
+from driftlens.llm.common import let, table
 
 PARAGRAPH = r"[^\n.!?]+[.!?]*|[.!?]+"
 LANE_BITS, LANES = 30, 2
@@ -36,10 +37,10 @@ DIGITS = BITS // 4
 #: Halves of a paragraph's MD5 that give LANE_BITS words each: first digit.
 HALVES = (1, 17)
 WORDS = len(HALVES) * LANE_BITS
-#: Documents whose next one is looked up in the same task, at least.
+#: Documents whose next one is looked up in the same task, about.
 BUCKET = 4096
 #: Buckets, at most: the table of their first documents is small by this bound.
-BUCKETS = 10_000
+BUCKETS = 200_000
 
 
 def paragraphs(text: Column) -> Column:
@@ -103,21 +104,47 @@ def likeness(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column
     return F.when(a == b, F.lit(1.0)).otherwise(estimate)
 
 
+def listed(numbers: list, kind: str) -> Column:
+    """A constant array, in one literal however long it is."""
+    return F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+
+
+def edges(docs: DataFrame, size: int = BUCKET) -> list[int]:
+    """Ids that part the documents into even runs of about ``size``: quantiles
+    of the ids, so ids that lie far apart or close together do not matter."""
+    buckets = min(BUCKETS, -(-docs.agg(F.count("doc_id")).first()[0] // size))
+    if buckets < 2:
+        return []
+    shares = listed([i / buckets for i in range(1, buckets)], "double")
+    found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(4 * buckets)).alias("q")).first()["q"]
+    return sorted(set(found))
+
+
+def bucket_of(doc_id: Column, parts: list[int]) -> Column:
+    """How many of the ordered ``parts`` are at most ``doc_id``: looked up among
+    every step-th, then among the step that follows."""
+    if not parts:
+        return F.when(doc_id.isNotNull(), F.lit(0).cast("long"))
+    step = math.isqrt(len(parts)) + 1
+
+    def below(ids: Column) -> Column:
+        return F.size(F.filter(ids, lambda e: e <= doc_id))
+
+    base = F.greatest(below(listed(parts[::step], "long")) - 1, F.lit(0)) * step
+    return F.when(doc_id.isNotNull(), let(base, lambda b: (b + below(F.slice(listed(parts, "long"), b + 1, F.lit(step)))).cast("long")))
+
+
 def in_order(docs: DataFrame) -> DataFrame:
     """Rows (at, pos, guest, doc_id, text, next_text): bucket, place in it, and
     the text of the next row by (doc_id, text), or of the first row after the
     last.
 
-    Documents are dealt to buckets of consecutive ids; each bucket also gets,
+    Documents are dealt to buckets of consecutive ids, even by their quantiles; each bucket also gets,
     as a guest, the first document of the one after it (the buckets' first ids
     are at most BUCKETS + 1 rows), so texts are shuffled once and no task sees
     them all. Null ids have no place in the order: their next text is empty.
     """
-    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
-    if low is None:
-        low, high = 0, 0
-    width = max(BUCKET, -(-(high - low + 1) // BUCKETS))
-    bucket = F.floor((F.col("doc_id") - low) / width).cast("long")
+    bucket = bucket_of(F.col("doc_id"), edges(docs))
     spread = -1 - F.pmod(F.xxhash64("text"), F.lit(BUCKETS))
     dealt = docs.withColumn("bucket", F.coalesce(bucket, spread))
     firsts = docs.where("doc_id is not null").groupBy(bucket.alias("b")).agg(F.min("doc_id").alias("first"))
@@ -141,7 +168,8 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     replaced by the first as many (or all) of the next document. Null text is
     empty; an empty text's fingerprint is all zero and is like another empty
     one (1.0). Rows that repeat an id follow each other by text; rows without
-    an id are followed by an empty text.
+    an id are followed by an empty text. Further columns are left out; an empty
+    table gives no rows.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = F.length("text")

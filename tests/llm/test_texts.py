@@ -249,6 +249,19 @@ def test_simhash_chain_and_odd_rows(spark, odd_docs, no_docs):
 # --- op1, op9, op10 -------------------------------------------------------
 
 
+def test_fingerprint_buckets_are_even_whatever_the_ids(spark):
+    ids = [*range(9000), *range(10**6, 10**15, 10**12), -(10**18), 2**62]
+    df = spark.createDataFrame([(i, f"text {i}.") for i in ids], "doc_id long, text string").repartition(5)
+    parts = fingerprints.edges(df, 100)
+    held = df.groupBy(fingerprints.bucket_of(F.col("doc_id"), parts).alias("b")).agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).orderBy("b").collect()
+    assert len(held) > 90 and max(r["n"] for r in held) < 300
+    for r in held:
+        assert r["b"] == sum(e <= r["low"] for e in parts)
+    got = {r["doc_id"]: r["next_text"] for r in fingerprints.in_order(df).where("not guest").collect()}
+    order = sorted(ids)
+    assert got == {i: f"text {n}." for i, n in zip(order, order[1:] + order[:1])}
+
+
 def test_fingerprints_add_up(spark, odd_docs, no_docs):
     got = rows(fingerprints.fingerprint(odd_docs))
     assert len(got) == odd_docs.count() and fingerprints.fingerprint(no_docs).count() == 0
