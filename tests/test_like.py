@@ -83,3 +83,33 @@ def test_a_pattern_of_another_shape_changes_no_other_keys(spark):
     few, all_ = (Counter((r[0], r[1]) for r in name_keys(names, kinds(p)).collect()) for p in (pats, more))
     assert not few - all_
     assert kinds(more) == sorted([("P", 3), ("S", 1), ("L", 0), ("P", 1), ("G", 3), ("A", 0)])
+
+
+def test_a_prefix_that_every_name_has_takes_no_name_along(spark):
+    """All names and patterns share one key; patterns keep their own suffix, so
+    no row of the shared key comes to the join, and no task gets them all."""
+    from driftlens.functions.like import lengths, name_keys, pattern_keys
+    from driftlens.operators.stored import key_counts, least_frequent, without_idle_keys
+
+    names = spark.range(1000, 3000).selectExpr("concat('src:c.s.t_', id) as _name")
+    pats = spark.range(1000, 3000).selectExpr("concat('src_c.s.t_', id) as _pattern")
+    klens = lengths(pats)
+    pk, nk = pattern_keys(pats), name_keys(names, sorted(klens), klens=klens)
+    assert nk.count() == 2 * 2000  # the prefix and the suffix, by the one length that occurs
+    counts = key_counts(pk, nk)
+    assert sorted((r["_freq"], r["_asked"]) for r in counts.collect()) == [(1, 1)] * 2000 + [(2000, 2000)]
+    best = least_frequent(pk, counts, common=100)
+    assert Counter(r["_freq"] for r in best.collect()) == {1: 2000}
+    rows = without_idle_keys(nk, counts, best, common=100)
+    assert rows.count() == 2000 and rows.distinct().count() == 2000
+
+
+def test_common_keys_change_no_pair(spark):
+    names = ["redshift_dev:tpch.public.t_123", "redshift_dev:tpch.public.t_223", "redshift_dev:x", "abcabc", "abc", "", "a%c", "aaaa", None, "abc"]
+    pats = ["redshift_dev:tpch.public.t__23", "red%", "%abc%", "%", "", "abc", "a_c", "___", "%aa%", "red%3", None, "%", "zz%", "zz%1", "zz%2"]
+    p = spark.createDataFrame([(i, x) for i, x in enumerate(pats)], "pid int, pattern string")
+    n = spark.createDataFrame([(j, x) for j, x in enumerate(names)], "nid int, name string")
+    want = brute(spark, pats, names)
+    for common in (0, 1, 2, 100):
+        got = Counter((r["pid"], r["nid"]) for r in like_join(p, "pattern", n, "name", common).collect())
+        assert got == want
